@@ -1,18 +1,16 @@
 """Token-overlap scores between a reference text and a generated text."""
 
-from __future__ import annotations
-
 from pyspark.sql import Column, functions as F
 
-from careweave.functions import text as tx
-
 
 def unigram_overlap(reference: Column, generated: Column) -> Column:
-    """Share of generated tokens that occur in the reference (no clipping, no brevity penalty)."""
-    ref = tx.tokens(F.lower(reference))
-    gen = tx.tokens(F.lower(generated))
-    return F.size(F.filter(gen, lambda t: F.array_contains(ref, t))) / F.greatest(
-        F.lit(1), F.size(gen))
+    """Share of generated tokens that occur in the reference (no clipping, no brevity penalty).
+
+    Takes token array *columns*: an expression would be evaluated once per token of the other.
+    """
+    found = F.size(F.filter(generated, lambda t: F.array_contains(reference, t)))
+    return F.when(F.size(reference) == 0, F.lit(0.0)).otherwise(
+        found / F.greatest(F.lit(1), F.size(generated)))
 
 
 def _lcs_function():

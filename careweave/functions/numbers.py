@@ -6,35 +6,35 @@ from collections.abc import Iterable
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-_SPLIT = 134217729.0  # 2**27 + 1, Dekker's splitting constant
+_SPLIT = "134217729D"  # 2**27 + 1, Dekker's splitting constant
 
 
-def py_round(value: Column, digits: int) -> Column:
-    """Round to ``digits`` by the value's exact binary expansion, ties to even.
+def py_round(x: str, digits: int) -> Column:
+    """Round the SQL expression ``x`` to ``digits`` by its exact binary value, ties to even.
 
     Spark's ``round`` works on the shortest decimal text (0.145 -> 0.15), Python's on the
     binary value (0.145 -> 0.14). The scaled value is held as an exact product p + e
-    (Dekker 1971); only when p lands on a tie does the sign of e decide.
+    (Dekker 1971); only when p lands on a tie does the sign of e decide. One SQL text, so that
+    the expression is built in one step.
     """
-    scale = float(10 ** digits)
-    x = value.cast("double")
-    big = x * _SPLIT
-    high = big - (big - x)
-    low = x - high
-    p = x * scale
-    e = (high * scale - p) + low * scale
-    floor = F.floor(p).cast("double")
-    tie = (p - floor) == 0.5
-    return F.when(tie & (e > 0), floor + 1).when(tie & (e < 0), floor).otherwise(F.rint(p)) / scale
+    scale = f"{10 ** digits}D"
+    x = f"CAST({x} AS DOUBLE)"
+    high = f"({x} * {_SPLIT} - ({x} * {_SPLIT} - {x}))"
+    p = f"({x} * {scale})"
+    e = f"(({high} * {scale} - {p}) + ({x} - {high}) * {scale})"
+    tie = f"({p} - floor({p}) = 0.5D)"
+    return F.expr(
+        f"(CASE WHEN {tie} AND {e} > 0 THEN floor({p}) + 1D "
+        f"WHEN {tie} AND {e} < 0 THEN CAST(floor({p}) AS DOUBLE) ELSE rint({p}) END) / {scale}")
 
 
 def round_columns(df: DataFrame, names: Iterable[str], digits: int = 4) -> DataFrame:
-    return df.withColumns({name: py_round(F.col(name), digits) for name in names})
+    return df.withColumns({name: py_round(name, digits) for name in names})
 
 
-def fixed_text(value: Column, digits: int) -> Column:
-    """Like Python's ``f'{value:.2f}'``."""
-    return F.format_string(f"%.{digits}f", py_round(value, digits))
+def fixed_text(x: str, digits: int) -> Column:
+    """Like Python's ``f'{x:.2f}'``."""
+    return F.format_string(f"%.{digits}f", py_round(x, digits))
 
 
 def shortest_text(value: Column) -> Column:
@@ -50,7 +50,3 @@ def ratio(numerator: Column, denominator: Column) -> Column:
 def rating_bin(value: Column, low: int = 1, high: int = 5) -> Column:
     """Nearest integer (half to even) clipped to the rating range."""
     return F.greatest(F.lit(low), F.least(F.lit(high), F.rint(value).cast("int")))
-
-
-def half_even_mean(total: Column, count: Column, digits: int = 4) -> Column:
-    return py_round(ratio(total, count), digits)

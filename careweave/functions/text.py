@@ -4,17 +4,21 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from careweave import fixed_values as fv
 
-# Whitespace as Unicode text handling sees it, including the ASCII separators 1C-1F.
-SPACE = r"[\s\x1c-\x1f]"
+# Whitespace as Unicode text handling counts it: as a pattern class (two quick tests per
+# character) and, for trimming, as the characters themselves.
+SPACE = r"[\s\x1c-\x1f\x85\p{Z}]"
+_SPACES = " " + "".join(map(chr, [
+    *range(0x09, 0x0E), *range(0x1C, 0x20), 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B),
+    0x2028, 0x2029, 0x202F, 0x205F, 0x3000]))
 WORD = r"(?U)\w{2,}"
 
 
 def strip(text: Column) -> Column:
-    return F.regexp_replace(text, rf"(?U)^{SPACE}+|{SPACE}+\z", "")
+    return F.trim(text, F.lit(_SPACES))
 
 
 def normalize_missing(text: Column) -> Column:
@@ -24,12 +28,26 @@ def normalize_missing(text: Column) -> Column:
 
 
 def clean_text(text: Column) -> Column:
-    """URLs to a placeholder, handles dropped, whitespace collapsed and stripped (in this order)."""
-    out = F.coalesce(text, F.lit(""))
-    out = F.regexp_replace(out, "(?U)" + fv.URL_PATTERN, fv.URL_PLACEHOLDER)
-    out = F.regexp_replace(out, fv.HANDLE_PATTERN, "")
-    out = F.regexp_replace(out, rf"(?U){SPACE}+", " ")
-    return F.trim(out)
+    """URLs to a placeholder, handles dropped, whitespace collapsed and stripped (in this order).
+
+    Plain substring tests on the raw text decide whether a pattern has to run at all.
+    """
+    raw = F.coalesce(text, F.lit(""))
+    maybe_url = raw.contains("://") | raw.contains("www.")
+    out = F.when(maybe_url, F.regexp_replace(
+        raw, "(?U)" + fv.URL_PATTERN, fv.URL_PLACEHOLDER)).otherwise(raw)
+    out = F.when(raw.contains("@"), F.regexp_replace(out, fv.HANDLE_PATTERN, "")).otherwise(out)
+    return F.trim(F.regexp_replace(out, SPACE + "+", " "))
+
+
+def computed_once(df: DataFrame, **columns: Column) -> DataFrame:
+    """Add costly columns so that each is evaluated once per row.
+
+    A filter on a plain projected column is pushed below the projection and evaluates its
+    expression again; the output of a generator stays where it is.
+    """
+    return df.select("*", F.inline(F.array(F.struct(*[
+        value.alias(name) for name, value in columns.items()]))))
 
 
 def text_key(text: Column) -> Column:
@@ -43,15 +61,19 @@ def is_blank(text: Column) -> Column:
 
 def tokens(text: Column) -> Column:
     """Whitespace tokens; an empty array for blank text."""
-    bare = strip(F.coalesce(text, F.lit("")))
-    return F.when(bare == "", F.array().cast("array<string>")).otherwise(
-        F.split(bare, rf"(?U){SPACE}+"))
+    return F.array_remove(F.split(F.coalesce(text, F.lit("")), SPACE + "+"), "")
 
 
 def token_count(text: Column) -> Column:
     return F.size(tokens(text))
 
 
+def clean_token_count(cleaned: Column) -> Column:
+    """Token count of text that is already clean (single spaces): no pattern needed."""
+    return F.when(cleaned == "", F.lit(0)).otherwise(
+        F.length(cleaned) - F.length(F.replace(cleaned, F.lit(" "), F.lit(""))) + 1)
+
+
 def words(text: Column) -> Column:
     """Lower-cased runs of two or more word characters: the feature tokens."""
     return F.regexp_extract_all(F.lower(F.coalesce(text, F.lit(""))), F.lit(WORD), F.lit(0))

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from careweave.functions.numbers import rating_bin, ratio, round_columns
+from careweave.session import materialize
 
 _RANK_BUCKETS = 256
 MEASURES = [
@@ -13,26 +14,29 @@ MEASURES = [
 ]
 
 
-def average_ranks(histogram: DataFrame, value: str, n: str = "n") -> DataFrame:
-    """(value, rank): average rank of every distinct value of a histogram.
+def average_ranks(histogram: DataFrame) -> DataFrame:
+    """(side, v, rank): average rank of each distinct value within its side, from (side, v, n).
 
-    No window runs over all values at once: a hash sample of about 256 values cuts them into
-    ranges, the range totals (a few hundred rows) are summed up in order, and ranks inside a
-    range come from a window per range.
+    No window runs over all values of a side: a hash sample of about 256 values cuts them into
+    ranges, the range totals (a few hundred rows per side) are summed up in order, and ranks
+    inside a range come from a window per range.
     """
-    hist = histogram.groupBy(F.col(value).alias("v")).agg(F.sum(n).alias("n"))
-    n_values = hist.agg(F.count("*").alias("c"))
-    thin = F.greatest(F.lit(1), (n_values.scalar() / _RANK_BUCKETS).cast("bigint"))
-    cuts = hist.where(F.pmod(F.xxhash64("v"), thin) == 0).agg(
+    sizes = histogram.groupBy("side").agg(F.count("*").alias("c"))
+    thin = F.greatest(F.lit(1), F.floor(F.col("c") / _RANK_BUCKETS))
+    cuts = histogram.join(F.broadcast(sizes), "side").where(
+        F.pmod(F.xxhash64("v"), thin) == 0).groupBy("side").agg(
         F.sort_array(F.collect_list("v")).alias("cuts"))
-    ranged = hist.withColumn("cuts", cuts.scalar()).select(
-        "v", "n", F.size(F.filter("cuts", lambda c: c < F.col("v"))).alias("bucket"))
-    before = Window.orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
-    starts = ranged.groupBy("bucket").agg(F.sum("n").alias("t")).select(
-        "bucket", F.coalesce(F.sum("t").over(before), F.lit(0)).alias("start"))
-    inside = Window.partitionBy("bucket").orderBy("v").rowsBetween(Window.unboundedPreceding, -1)
-    return ranged.join(F.broadcast(starts), "bucket").select(
-        F.col("v").alias(value),
+    none = F.array().cast("array<double>")
+    ranged = histogram.join(F.broadcast(cuts), "side", "left").select(
+        "side", "v", "n",
+        F.size(F.filter(F.coalesce("cuts", none), lambda c: c < F.col("v"))).alias("bucket"))
+    before = Window.partitionBy("side").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
+    starts = ranged.groupBy("side", "bucket").agg(F.sum("n").alias("t")).select(
+        "side", "bucket", F.coalesce(F.sum("t").over(before), F.lit(0)).alias("start"))
+    inside = Window.partitionBy("side", "bucket").orderBy("v").rowsBetween(
+        Window.unboundedPreceding, -1)
+    return ranged.join(F.broadcast(starts), ["side", "bucket"]).select(
+        "side", "v",
         (F.col("start") + F.coalesce(F.sum("n").over(inside), F.lit(0)) + (F.col("n") + 1) / 2.0)
         .alias("rank"))
 
@@ -59,21 +63,33 @@ def rater_agreement(
     rated = ratings.where(F.col(human).isNotNull() & F.col(judge).isNotNull())
     if first_n is not None:
         rated = rated.orderBy(order).limit(first_n)
-    # Equal rating pairs collapse first; everything below works on the few that are left.
-    cells = rated.groupBy(F.col(human).alias("h"), F.col(judge).alias("j")).agg(
-        F.count("*").alias("n"))
-    half = (cells.agg(F.sum("n").alias("n")).scalar() + 1) / 2.0
-    ranked = (
-        cells.join(average_ranks(cells, "h").withColumnRenamed("rank", "rh"), "h")
-        .join(average_ranks(cells, "j").withColumnRenamed("rank", "rj"), "j")
+    # Equal rating pairs collapse first; everything below reads the few that are left, several
+    # times, so they are computed once.
+    cells = materialize(rated.groupBy(F.col(human).alias("h"), F.col(judge).alias("j")).agg(
+        F.count("*").alias("n")))
+    sides = F.array(F.struct(F.lit("h").alias("side"), F.col("h").alias("v"), "n"),
+                    F.struct(F.lit("j").alias("side"), F.col("j").alias("v"), "n"))
+    histogram = cells.select(F.inline(sides)).groupBy("side", "v").agg(F.sum("n").alias("n"))
+    ranks = materialize(average_ranks(histogram))
+
+    def ranks_of(side: str) -> DataFrame:
+        return ranks.where(F.col("side") == side).select(
+            F.col("v").alias(side), F.col("rank").alias(f"r{side}"))
+
+    facts = cells.agg(
+        F.sum("n").alias("rows"),
+        F.sort_array(F.array_union(F.collect_set(rating_bin(F.col("h"))),
+                                   F.collect_set(rating_bin(F.col("j"))))).alias("labels"))
+    # Ranks are centred for the sums; quadratic weights use the position in the sorted union of
+    # bins that occur. The facts are one row, so they join every cell by broadcast.
+    half = (F.col("rows") + 1) / 2.0
+    placed = (
+        cells.join(ranks_of("h"), "h").join(ranks_of("j"), "j")
+        .withColumn("one", F.lit(1)).join(F.broadcast(facts.withColumn("one", F.lit(1))), "one")
         .withColumns({"rh": F.col("rh") - half, "rj": F.col("rj") - half,
-                      "bh": rating_bin(F.col("h")), "bj": rating_bin(F.col("j"))}))
-    bins = cells.select(F.explode(F.array(rating_bin(F.col("h")), rating_bin(F.col("j")))).alias("b"))
-    present = bins.agg(F.sort_array(F.collect_set("b")).alias("labels"))
-    # Quadratic weights use the position in the sorted union of bins that occur.
-    placed = ranked.withColumn("labels", present.scalar()).withColumns({
-        "ih": F.array_position("labels", F.col("bh")).cast("double"),
-        "ij": F.array_position("labels", F.col("bj")).cast("double")})
+                      "bh": rating_bin(F.col("h")), "bj": rating_bin(F.col("j"))})
+        .withColumns({"ih": F.array_position("labels", F.col("bh")).cast("double"),
+                      "ij": F.array_position("labels", F.col("bj")).cast("double")}))
     n, ih, ij = F.col("n"), F.col("ih"), F.col("ij")
     total = F.sum(n)
     observed = F.sum(n * (ih - ij) * (ih - ij))

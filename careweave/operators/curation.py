@@ -11,18 +11,15 @@ from careweave.functions import text as tx
 
 
 def preprocess_messages(messages: DataFrame, brand: str = fv.DEFAULT_BRAND) -> DataFrame:
-    """Drop blank messages, keep the original next to the cleaned text, flag the brand."""
-    is_brand = F.lower(F.col("author_id")) == brand.lower()
-    return (
-        messages.where(~tx.is_blank(F.col("text")))
-        .withColumns({
-            "raw_text": F.col("text"),
-            "clean_text": tx.clean_text(F.col("text")),
-            "is_brand": F.coalesce(is_brand, F.lit(False)),
-        })
-        .withColumn("is_customer", ~F.col("is_brand"))
-        .where(F.col("clean_text") != "")
-    )
+    """Keep the original next to the cleaned text, flag the brand, drop what cleans to nothing.
+
+    A blank message cleans to nothing too, so one filter covers both.
+    """
+    is_brand = F.coalesce(F.lower(F.col("author_id")) == brand.lower(), F.lit(False))
+    flagged = messages.withColumns({
+        "raw_text": F.col("text"), "is_brand": is_brand, "is_customer": ~is_brand})
+    return tx.computed_once(flagged, clean_text=tx.clean_text(F.col("text"))).where(
+        "clean_text <> ''")
 
 
 def min_tokens(df: DataFrame, columns: Sequence[str], n: int = fv.MIN_TOKENS) -> DataFrame:
@@ -31,13 +28,17 @@ def min_tokens(df: DataFrame, columns: Sequence[str], n: int = fv.MIN_TOKENS) ->
     return df
 
 
-def keep_first(df: DataFrame, keys: Sequence[str | Column], order: Sequence[str | Column]) -> DataFrame:
+def keep_first(
+    df: DataFrame, keys: Sequence[str], order: Sequence[str | Column], *, hashed: bool = False
+) -> DataFrame:
     """One row per key, the first in a stated order.
 
     The rank filter becomes a per-task group limit before the shuffle, so a key that holds a
-    large share of the rows sends at most one row per task.
+    large share of the rows sends at most one row per task. ``hashed`` is for long text keys:
+    a leading hash makes the sort compare 8 bytes first; equal hashes still compare the keys.
     """
-    window = Window.partitionBy(*keys).orderBy(*order)
+    leading = [F.xxhash64(*keys)] if hashed else []
+    window = Window.partitionBy(*leading, *keys).orderBy(*order)
     return df.withColumn("_rn", F.row_number().over(window)).where("_rn = 1").drop("_rn")
 
 

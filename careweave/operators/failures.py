@@ -42,7 +42,7 @@ def failure_cases(predictions: DataFrame) -> DataFrame:
     failing = predictions.withColumn("failure_type", kind).where("failure_type is not null")
     return failing.select(
         "pair_id", F.col("customer_clean_text").alias("customer_message"), "gold_intent",
-        "predicted_intent", py_round(F.col("confidence"), 4).alias("confidence"),
+        "predicted_intent", py_round("confidence", 4).alias("confidence"),
         F.col("routing_action").alias("routing_decision"),
         F.coalesce("top_response", F.lit(fv.NO_CASE_TEXT)).alias("retrieved_case"),
         "generated_reply", "failure_type", described.alias("what_failed"),

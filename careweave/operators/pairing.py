@@ -29,12 +29,14 @@ def reconstruct_pairs(
 ) -> DataFrame:
     """Brand replies joined to the customer message they answer, identical pairs kept once.
 
-    Token counts are filtered on each side before the join, so only usable messages shuffle.
-    A message id that occurs twice counts with its earliest row.
+    Brand flag and token counts are filtered on each side before the join, so each message is
+    cleaned once and only usable messages shuffle. A customer message id that occurs twice
+    counts with its earliest row.
     """
-    usable = prepared(messages, brand).where(tx.token_count(F.col("clean_text")) >= min_tokens)
-    replies = usable.where(
-        F.col("is_brand") & (F.coalesce("in_reply_to_tweet_id", F.lit("")) != "")
+    messages = prepared(messages, brand)
+    enough = tx.clean_token_count(F.col("clean_text")) >= min_tokens
+    replies = messages.where(
+        F.col("is_brand") & (F.coalesce("in_reply_to_tweet_id", F.lit("")) != "") & enough
     ).select(
         F.col("in_reply_to_tweet_id").alias("customer_tweet_id"),
         F.col("tweet_id").alias("support_tweet_id"),
@@ -43,10 +45,11 @@ def reconstruct_pairs(
         F.col("clean_text").alias("support_clean_text"),
         "created_at",
     )
-    # The id decides which row a parent is, so duplicates are settled before any other filter.
+    # Which row an id stands for is settled before short messages are dropped.
     parents = (
-        keep_first(prepared(messages, brand), ["tweet_id"], ["created_at", "author_id", "raw_text"])
-        .where(~F.col("is_brand") & (tx.token_count(F.col("clean_text")) >= min_tokens))
+        keep_first(messages.where(~F.col("is_brand")), ["tweet_id"],
+                   ["created_at", "author_id", "raw_text"])
+        .where(enough)
         .select(
             F.col("tweet_id").alias("customer_tweet_id"),
             F.col("author_id").alias("customer_author_id"),
@@ -68,7 +71,7 @@ def dedup_pairs(
     keys: tuple[str, ...] = ("customer_clean_text", "support_clean_text"),
     order: tuple[str, ...] = _ORDER,
 ) -> DataFrame:
-    return keep_first(pairs, list(keys), list(order))
+    return keep_first(pairs, list(keys), list(order), hashed=True)
 
 
 def brand_statistics(

@@ -37,7 +37,10 @@ def reply_columns(intent: Column, top_response: Column, has_case: Column) -> dic
 
 def long_replies(df: DataFrame, keep: list[str]) -> DataFrame:
     """One row per (row, system) with the reply text."""
-    return df.unpivot(keep, fv.REPLY_SYSTEMS, "system", "generated_reply")
+    rows = F.array(*[
+        F.struct(F.lit(name).alias("system"), F.col(name).alias("generated_reply"))
+        for name in fv.REPLY_SYSTEMS])
+    return df.select(*keep, F.inline(rows))
 
 
 def grounding_context(cases: DataFrame, by: str = "query_id") -> DataFrame:

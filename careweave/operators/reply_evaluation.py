@@ -14,15 +14,26 @@ from careweave.session import task_slots
 _MEANS = ["overall_quality_score", *fv.RUBRIC_SCORES, "secondary_bleu_4", "secondary_rouge_l"]
 
 
+def _with_tokens(df: DataFrame, reference: str, generated: str) -> DataFrame:
+    return df.withColumns({"_ref": tx.tokens(F.lower(F.col(reference))),
+                           "_gen": tx.tokens(F.lower(F.col(generated)))})
+
+
+def unigram_scores(
+    df: DataFrame, reference: str = "support_response", generated: str = "generated_reply"
+) -> DataFrame:
+    """Add ``bleu_4`` (unigram overlap) per row."""
+    return _with_tokens(df, reference, generated).withColumn(
+        "bleu_4", lexical.unigram_overlap(F.col("_ref"), F.col("_gen"))).drop("_ref", "_gen")
+
+
 def lexical_scores(
     df: DataFrame, reference: str = "support_response", generated: str = "generated_reply"
 ) -> DataFrame:
-    """Add ``bleu_4`` (unigram overlap) and ``rouge_l`` per row; one Python hop for both texts."""
-    ref, gen = tx.tokens(F.lower(F.col(reference))), tx.tokens(F.lower(F.col(generated)))
-    out = df.withColumns({
-        "bleu_4": lexical.unigram_overlap(F.col(reference), F.col(generated)),
-        "_ref": ref, "_gen": gen,
-    }).withColumn("_lcs", lexical.lcs_length(F.col("_ref"), F.col("_gen")))
+    """Add ``bleu_4`` (unigram overlap) and ``rouge_l`` per row."""
+    out = _with_tokens(df, reference, generated).withColumns({
+        "bleu_4": lexical.unigram_overlap(F.col("_ref"), F.col("_gen")),
+        "_lcs": lexical.lcs_length(F.col("_ref"), F.col("_gen"))})
     return out.withColumn("rouge_l", lexical.rouge_l_from(
         F.col("_lcs"), F.size("_ref"), F.size("_gen"))).drop("_ref", "_gen", "_lcs")
 

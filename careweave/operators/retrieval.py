@@ -61,12 +61,6 @@ def load_index(spark, path: str) -> tuple[DataFrame, DataFrame | None]:
 
 # --- block join ------------------------------------------------------------------
 
-_OUT = T.StructType([
-    T.StructField("query_id", T.StringType()), T.StructField("case_id", T.StringType()),
-    T.StructField("similarity_score", T.DoubleType()),
-])
-
-
 def _kernel(k: int, sparse: bool):
     """Arrow function over one query block and one case block; nested so it ships by value."""
 
@@ -78,8 +72,8 @@ def _kernel(k: int, sparse: bool):
             column = column.combine_chunks()
             return np.diff(column.offsets.to_numpy()), column.flatten().to_numpy()
 
-        out_schema = pa.schema([("query_id", pa.string()), ("case_id", pa.string()),
-                                ("similarity_score", pa.float64())])
+        out_schema = pa.schema([left.schema.field("query_id"), right.schema.field("case_id"),
+                                pa.field("similarity_score", pa.float64())])
         if left.num_rows == 0 or right.num_rows == 0:
             return out_schema.empty_table()
         # Cases in id order, so that among equal scores the smaller id comes first.
@@ -144,40 +138,53 @@ def _kernel(k: int, sparse: bool):
     return run
 
 
-def _chunks(counts: DataFrame, name: str, block_rows: int, slots: int) -> DataFrame:
-    """Blocks per group: enough to bound their size, and some more to occupy the tasks."""
-    n = F.col("n")
+def _blocks(n: Column, block_rows: int, slots: int) -> Column:
+    """Blocks for ``n`` rows: enough to bound their size, and some more to occupy the tasks."""
     wanted = F.least(F.lit(slots), F.ceil(n / float(_MIN_BLOCK_ROWS)))
-    needed = F.ceil(n / float(block_rows))
-    return counts.select(_GRP, F.greatest(F.lit(1), needed, wanted).cast("int").alias(name))
+    return F.greatest(F.lit(1), F.ceil(n / float(block_rows)), wanted).cast("int")
+
+
+def _block_counts(queries: DataFrame, cases: DataFrame, block_rows: int, slots: int) -> DataFrame:
+    """(_grp, _nq, _nc): into how many blocks each group's queries and cases are cut."""
+    n = F.count("*")
+    left = queries.groupBy(_GRP).agg(_blocks(n, block_rows, slots).alias("_nq"))
+    right = cases.groupBy(_GRP).agg(_blocks(n, block_rows, 1).alias("_nc"))
+    return left.join(right, _GRP)
 
 
 def _block_join(
-    queries: DataFrame, cases: DataFrame, *, k: int, sparse: bool, block_rows: int
+    queries: DataFrame, cases: DataFrame, *, k: int, sparse: bool, block_rows: int,
+    grouped: bool = False,
 ) -> DataFrame:
-    """Best k cases per query of the same group, merged over blocks.
+    """Best k cases per query and case block.
 
-    Both frames carry ``_grp`` (one group for the exact join; few groups, bounded by the
-    number of hash codes, for the approximate one).
+    Exact: both sides are one group and their row counts decide the blocks. Grouped: both
+    carry ``_grp`` (few values) and a query only meets the cases of its groups.
     """
     slots = task_slots(queries.sparkSession)
-    n_query = _chunks(queries.groupBy(_GRP).agg(F.count("*").alias("n")), "_nq", block_rows, slots)
-    n_case = _chunks(cases.groupBy(_GRP).agg(F.count("*").alias("n")), "_nc", block_rows, 1)
-    # One row per group; groups are bounded, so this table is small enough to broadcast.
-    plan = F.broadcast(n_query.join(n_case, _GRP))
+    if grouped:
+        # One row per group, and the caller bounds the groups: small enough to broadcast.
+        counts = F.broadcast(_block_counts(queries, cases, block_rows, slots))
+        queries, cases = queries.join(counts, _GRP), cases.join(counts, _GRP)
+    else:
+        n_query, n_case = queries.count(), cases.count()
+        sizes = {"_nq": _blocks(F.lit(n_query), block_rows, slots),
+                 "_nc": _blocks(F.lit(n_case), block_rows, 1)}
+        queries, cases = queries.withColumns(sizes), cases.withColumns(sizes)
 
     def spread(df: DataFrame, own: str, own_count: str, other: str, other_count: str, key: str):
         return (
-            df.join(plan, _GRP)
-            .withColumn(own, F.pmod(F.xxhash64(key), F.col(own_count)).cast("int"))
+            df.withColumn(own, F.pmod(F.xxhash64(key), F.col(own_count)).cast("int"))
             .withColumn(other, F.explode(F.sequence(F.lit(0), F.col(other_count) - 1)))
-            .drop(own_count, other_count)
+            .drop("_nq", "_nc")
             .repartition(slots, _GRP, "_q", "_c")
         )
 
     left = spread(queries, "_q", "_nq", "_c", "_nc", "query_id").groupBy(_GRP, "_q", "_c")
     right = spread(cases, "_c", "_nc", "_q", "_nq", "case_id").groupBy(_GRP, "_q", "_c")
-    return left.cogroup(right).applyInArrow(_kernel(k, sparse), _OUT)
+    out = T.StructType([queries.schema["query_id"], cases.schema["case_id"],
+                        T.StructField("similarity_score", T.DoubleType())])
+    return left.cogroup(right).applyInArrow(_kernel(k, sparse), out)
 
 
 def _ranked(partial: DataFrame, k: int) -> DataFrame:
@@ -191,8 +198,7 @@ def _ranked(partial: DataFrame, k: int) -> DataFrame:
 def _side(df: DataFrame, key: str, vector: str, ids: str | None, prefix: str,
           masks: list[Column], group: Column) -> DataFrame:
     empty = F.lit(None).cast("string")
-    columns = [group.alias(_GRP), F.col(key).cast("string").alias(f"{prefix}_id"),
-               F.col(vector).alias("vec")]
+    columns = [group.alias(_GRP), F.col(key).alias(f"{prefix}_id"), F.col(vector).alias("vec")]
     if ids is not None:
         columns.append(F.col(ids).alias("ids"))
     columns += [(masks[i] if i < len(masks) else empty).alias(f"m{i + 1}") for i in range(3)]
@@ -260,7 +266,8 @@ def approximate_top_k(
     c_masks = _masks(cases, list(case_ids), None)
     left = _side(queries, query_key, vector, None, "query", q_masks, codes(F.col(vector)))
     right = _side(cases, case_key, vector, None, "case", c_masks, codes(F.col(vector)))
-    partial = _block_join(left, right, k=k, sparse=False, block_rows=block_rows)
+    partial = _block_join(
+        left, right, k=k, sparse=False, block_rows=block_rows, grouped=True)
     # The same case can come back from several tables.
     once = partial.groupBy("query_id", "case_id").agg(
         F.max("similarity_score").alias("similarity_score"))
@@ -272,9 +279,14 @@ def retrieve(
     query_id: str | None = None, case_key: str = "pair_id", k: int = fv.TOP_K,
     masked: bool = True, block_rows: int = BLOCK_ROWS,
 ) -> DataFrame:
-    """Text retrieval: queries get vectors from the index's feature model, then exact top-k."""
-    vectors = features.sparse_vectors(queries, query_key, query_text, terms)
-    left = queries.join(vectors, query_key) if masked else vectors
+    """Text retrieval: exact top-k over the vectors of the index's feature model.
+
+    Queries without vectors get them from that model; rows of the index bring their own.
+    """
+    left = queries
+    if "term_ids" not in queries.columns:
+        vectors = features.sparse_vectors(queries, query_key, query_text, terms)
+        left = queries.join(vectors, query_key) if masked else vectors
     options = dict(
         query_id=query_id, case_ids=("customer_tweet_id", "support_tweet_id"),
         query_text=query_text, case_text="customer_clean_text") if masked else {}

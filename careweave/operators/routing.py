@@ -18,11 +18,12 @@ def _plain(number: float) -> str:
 
 
 def _signals(
-    query: Column, intent: Column, confidence: Column, top_sim: Column, *,
+    query: Column, intent: Column, confidence_name: str, sim_name: str, *,
     risk_keywords: Sequence[str], whole_word: bool, sensitive_intents: Sequence[str],
     general_intent: str, min_confidence: float, min_sim: float, general_min_confidence: float,
 ) -> list[tuple[Column, str, Column]]:
     """(fires, weight name, reason text) per signal, in reporting order."""
+    confidence, top_sim = F.col(confidence_name), F.col(sim_name)
     hits = tx.keyword_hits(query, risk_keywords, whole_word=whole_word)
     listed = F.concat(F.lit("['"), F.array_join(hits, "', '"), F.lit("']"))
     return [
@@ -32,10 +33,10 @@ def _signals(
          F.concat(F.lit("Intent '"), intent,
                   F.lit("' involves sensitive financial or credential actions"))),
         (confidence < min_confidence, "confidence",
-         F.concat(F.lit("Low intent classification confidence ("), fixed_text(confidence, 2),
+         F.concat(F.lit("Low intent classification confidence ("), fixed_text(confidence_name, 2),
                   F.lit(f" < {_plain(min_confidence)})"))),
         (top_sim < min_sim, "evidence",
-         F.concat(F.lit("Weak historical retrieval evidence (similarity "), fixed_text(top_sim, 2),
+         F.concat(F.lit("Weak historical retrieval evidence (similarity "), fixed_text(sim_name, 2),
                   F.lit(f" < {_plain(min_sim)})"))),
         ((intent == general_intent) & (confidence < general_min_confidence), "general",
          F.lit("Unclear/General query intent without high confidence pattern match")),
@@ -56,7 +57,7 @@ def route(
     """
     df = df.withColumn(top_sim, F.coalesce(F.col(top_sim), F.lit(0.0)))
     signals = _signals(
-        F.col(query), F.col(intent), F.col(confidence), F.col(top_sim),
+        F.col(query), F.col(intent), confidence, top_sim,
         risk_keywords=risk_keywords, whole_word=whole_word, sensitive_intents=sensitive_intents,
         general_intent=general_intent, min_confidence=min_confidence, min_sim=min_sim,
         general_min_confidence=general_min_confidence)
@@ -81,5 +82,5 @@ def route(
         "risk_score": F.least(F.lit(10), F.col("_tenths")) / 10.0,
         "primary_reason": F.when(F.size("reasons") == 0, F.lit(fv.NO_REASON)).otherwise(
             F.array_join("reasons", SEPARATOR)),
-        "routing_confidence": py_round(F.col(confidence), 4),
+        "routing_confidence": py_round(confidence, 4),
     }).drop(*flags, "_tenths")

@@ -39,6 +39,6 @@ def judge_replies(
     }).drop("_generic")
     total = sum((F.col(c) for c in fv.RUBRIC_SCORES[:-1]), 6 - F.col("hallucination_risk"))
     return df.withColumn("_total", total).withColumns({
-        "overall_quality_score": py_round(F.col("_total") / 6.0, 2),
+        "overall_quality_score": py_round("_total / 6D", 2),
         "judge_type": F.lit(fv.JUDGE_TYPE),
     }).drop("_total")

@@ -30,6 +30,7 @@ CAP_ROWS = 100
 SAMPLE_ROWS = 50
 STRATUM_ROWS = 10
 UNMASKED_K = fv.TOP_K + 5
+STREAM_START = 1704067200  # 2024-01-01 00:00:00 UTC
 
 Query = Callable[[SparkSession, str], DataFrame]
 _QUERIES: dict[str, Query] = {}
@@ -82,7 +83,7 @@ def _retrieved(spark, d, *, k=fv.TOP_K, masked=True):
     """(pairs, index, cases): every question against all pairs."""
     pairs, index, terms = _index(spark, d)
     cases = retrieval.retrieve(
-        pairs, index, terms, query_key="pair_id", query_text="customer_clean_text",
+        index, index, terms, query_key="pair_id", query_text="customer_clean_text",
         query_id="customer_tweet_id", k=k, masked=masked)
     return pairs, index, cases
 
@@ -177,10 +178,10 @@ def min_token_filter(spark, d):
 @query
 def keyword_label(spark, d):
     text = F.col("text")
-    return _documents(spark, d).select(
+    return round_columns(_documents(spark, d).select(
         "doc_id", tx.keyword_label(text).alias("default_label"),
         tx.keyword_label(text, tables.LANGUAGE_RULES).alias("language_label"),
-        py_round(tx.keyword_vote_share(text, tables.LANGUAGE_RULES), 4).alias("vote_share"))
+        tx.keyword_vote_share(text, tables.LANGUAGE_RULES).alias("vote_share")), ["vote_share"])
 
 
 @query
@@ -294,35 +295,30 @@ def reply_leakage(spark, d):
 @query
 def l2_normalize(spark, d):
     unit = _vectors(spark, d).select("vec_id", F.posexplode("embedding").alias("position", "x"))
-    return unit.select("vec_id", "position", py_round(F.col("x"), 6).alias("x"))
-
-
-def _knn_output(cases):
-    return cases.select(F.col("query_id").cast("bigint").alias("query_id"), "rank",
-                        F.col("case_id").cast("bigint").alias("case_id"), "similarity_score")
+    return unit.select("vec_id", "position", py_round("x", 6).alias("x"))
 
 
 @query
 def knn_topk(spark, d):
     vectors = _vectors(spark, d)
-    return _knn_output(retrieval.top_k(
-        vectors, vectors, query_key="vec_id", case_key="vec_id", vector="embedding"))
+    return retrieval.top_k(
+        vectors, vectors, query_key="vec_id", case_key="vec_id", vector="embedding")
 
 
 @query
 def knn_masked(spark, d):
     vectors = _vectors(spark, d).withColumn("label", F.col("label").cast("string"))
-    return _knn_output(retrieval.top_k(
+    return retrieval.top_k(
         vectors, vectors, query_key="vec_id", case_key="vec_id", vector="embedding",
-        query_id="vec_id", case_ids=("vec_id",), query_text="label", case_text="label"))
+        query_id="vec_id", case_ids=("vec_id",), query_text="label", case_text="label")
 
 
 @query
 def knn_lsh(spark, d):
     vectors = _vectors(spark, d)
-    return _knn_output(retrieval.approximate_top_k(
+    return retrieval.approximate_top_k(
         vectors, vectors, query_key="vec_id", case_key="vec_id", vector="embedding", dim=64,
-        query_id="vec_id", case_ids=("vec_id",)))
+        query_id="vec_id", case_ids=("vec_id",))
 
 
 @query
@@ -334,7 +330,7 @@ def tfidf_terms(spark, d):
 @query
 def build_index(spark, d):
     _, index, _ = _index(spark, d)
-    total = F.aggregate("weights", F.lit(0.0), lambda acc, x: acc + x)
+    total = "aggregate(weights, 0D, (acc, x) -> acc + x)"
     return index.select("pair_id", F.size("term_ids").alias("n_terms"),
                         py_round(total, 4).alias("weight_sum"))
 
@@ -427,9 +423,10 @@ def label_distribution(spark, d):
 def argmax_label(spark, d):
     labels = [f"class_{i}" for i in range(64)]
     label, confidence, _ = classification.argmax_label(F.col("p"), labels)
-    return _table(spark, d, "embeddings").select(
+    scored = _table(spark, d, "embeddings").select(
         "vec_id", F.col("embedding").cast("array<double>").alias("p")).select(
-        "vec_id", label.alias("predicted"), py_round(confidence, 6).alias("confidence"))
+        "vec_id", label.alias("predicted"), confidence.alias("confidence"))
+    return round_columns(scored, ["confidence"], 6)
 
 
 @query
@@ -464,10 +461,8 @@ def confidence_quartiles(spark, d):
 
 @query
 def lexical_overlap(spark, d):
-    pairs = _pairs(spark, d)
-    scored = reply_evaluation.lexical.unigram_overlap(
-        F.col("support_response"), F.col("customer_query"))
-    return pairs.select("pair_id", py_round(scored, 4).alias("bleu_4"))
+    scored = reply_evaluation.unigram_scores(_pairs(spark, d), "support_response", "customer_query")
+    return round_columns(scored.select("pair_id", "bleu_4"), ["bleu_4"])
 
 
 @query
@@ -539,14 +534,14 @@ def majority_baseline(spark, d):
 def tfidf_lr(spark, d):
     train, golden = _labelled_split(spark, d)
     return models.fit_tfidf(train, max_iter=50).predict(golden).select(
-        "doc_id", "gold_intent", "predicted_intent", py_round(F.col("confidence"), 4).alias("confidence"))
+        "doc_id", "gold_intent", "predicted_intent", py_round("confidence", 4).alias("confidence"))
 
 
 @query
 def embedding_lr(spark, d):
     df = _table(spark, d, "embeddings").withColumn("intent", F.col("label").cast("string"))
     return models.fit_embedding(df, max_iter=50).predict(df).select(
-        "vec_id", "intent", "predicted_intent", py_round(F.col("confidence"), 4).alias("confidence"))
+        "vec_id", "intent", "predicted_intent", py_round("confidence", 4).alias("confidence"))
 
 
 @query
@@ -566,8 +561,9 @@ def model_comparison(spark, d):
 def _message_stream(spark, d):
     source = spark.readStream.schema(_table(spark, d, "conversations").schema).option(
         "pathGlobFilter", "conversations.parquet").parquet(d)
-    return tables.messages(source).withColumn(
-        "created_ts", F.timestamp_seconds(F.col("created_at").cast("bigint") * 60))
+    # One minute per turn from a fixed day (the given table has no clock).
+    return tables.messages(source).withColumn("created_ts", F.timestamp_seconds(
+        STREAM_START + F.col("created_at").cast("bigint") * 60))
 
 
 @query

@@ -278,6 +278,38 @@ step("routed", "attached", routed("attached", c.MIN_SIM))
 step("scored", "routed", judged(
     f"(SELECT *, {template_reply('predicted_intent', 'has_case')} AS generated_reply FROM routed)",
     "predicted_intent"))
+
+# The stream's questions (all messages that are not the brand's) against the same index.
+step("asked", "msgs", f"""
+  SELECT tweet_id, {clean('text')} AS customer_clean_text FROM msgs
+  WHERE lower(author_id) <> lower({q(BRAND)})""")
+step("asked_weights", "asked terms", f"""
+  SELECT tweet_id, term, w / sqrt(sum(w * w) OVER (PARTITION BY tweet_id)) AS w
+  FROM (SELECT tweet_id, term, count(*) * any_value(idf) AS w
+        FROM (SELECT tweet_id, unnest(regexp_extract_all(lower(customer_clean_text), '{WORD}')) AS term
+              FROM asked) JOIN terms USING (term) GROUP BY ALL)""")
+step("asked_cases", "asked_weights weights", f"""
+  SELECT a.tweet_id AS query_id, b.pair_id AS case_id,
+         {rnd('greatest(0.0, coalesce(dot, 0.0))')} AS similarity_score
+  FROM asked a CROSS JOIN pairs b LEFT JOIN (
+    SELECT x.tweet_id AS qi, y.pair_id AS ci, sum(x.w * y.w) AS dot
+    FROM asked_weights x JOIN weights y USING (term) GROUP BY ALL)
+  ON qi = a.tweet_id AND ci = b.pair_id
+  WHERE a.tweet_id NOT IN (b.customer_tweet_id, b.support_tweet_id)
+    AND {key('a.customer_clean_text')} <> {key('b.customer_clean_text')}
+  QUALIFY row_number() OVER (PARTITION BY a.tweet_id ORDER BY similarity_score DESC, b.pair_id) = 1""")
+step("asked_routes", "asked_cases", routed(f"""
+  (SELECT a.tweet_id AS customer_tweet_id, a.customer_clean_text,
+          {label('a.customer_clean_text', tables.LANGUAGE_RULES)} AS predicted_intent,
+          {fv.UNTRAINED_CONFIDENCE}::DOUBLE AS confidence, b.support_response AS top_response,
+          coalesce(t.similarity_score, 0.0::DOUBLE) AS top_retrieval_sim,
+          t.case_id IS NOT NULL AS has_case
+   FROM asked a LEFT JOIN asked_cases t ON t.query_id = a.tweet_id
+   LEFT JOIN pairs b ON b.pair_id = t.case_id)""", c.MIN_SIM))
+step("asked_scores", "asked_routes", judged(
+    f"(SELECT *, {template_reply('predicted_intent', 'has_case')} AS generated_reply FROM asked_routes)",
+    "predicted_intent"))
+
 _BY_SYSTEM = dict(zip(fv.REPLY_SYSTEMS, [
     q(fv.TRIVIAL_REPLY), f"coalesce(nullif(top_response, ''), {q(fv.NEAREST_FALLBACK_REPLY)})",
     template_reply("predicted_intent", "has_case")]))
@@ -635,4 +667,7 @@ def oracle_sql() -> dict[str, str]:
                           GROUP BY 1 ORDER BY count(*) DESC, 1 LIMIT 1) AS predicted_intent,
                  1.0::DOUBLE AS confidence FROM golden""", "train golden"),
         "stream_pairs": full("SELECT * FROM pairs", "pairs"),
+        "stream_scores": full("""
+          SELECT customer_tweet_id, predicted_intent, routing_action, risk_score, top_retrieval_sim,
+                 overall_quality_score FROM asked_scores""", "asked_scores"),
     }

@@ -16,7 +16,7 @@ from careweave.operators.rubric import judge_replies
 def with_case_texts(cases: DataFrame, index: DataFrame, case_key: str = "pair_id") -> DataFrame:
     """Retrieved cases with the texts of the case."""
     texts = index.select(
-        F.col(case_key).cast("string").alias("case_id"),
+        F.col(case_key).alias("case_id"),
         F.col("customer_clean_text").alias("case_text"),
         F.col("support_response").alias("case_response"))
     return cases.join(texts, "case_id")
@@ -34,7 +34,7 @@ def attach_cases(queries: DataFrame, cases: DataFrame, query_key: str) -> DataFr
     found = collect_cases(cases)
     top = F.element_at("retrieved_cases", 1)
     return (
-        queries.join(found, F.col(query_key).cast("string") == F.col("query_id"), "left")
+        queries.join(found, F.col(query_key) == F.col("query_id"), "left")
         .drop("query_id")
         .withColumns({
             "top_response": top["case_response"],

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -15,6 +16,8 @@ def build_session(app_name: str = "careweave", **settings: str) -> SparkSession:
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
+        # Recording a Python stack for every column expression costs more than building it.
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")
     )
     for key, value in settings.items():
         builder = builder.config(key, value)
@@ -33,12 +36,15 @@ def shared_dir(spark: SparkSession) -> str:
 
 
 def materialize(df: DataFrame) -> DataFrame:
-    """Compute once into the shared folder; survives executor loss and is read, not recomputed."""
+    """Compute once into a table in the shared folder, and read that from here on.
+
+    Lineage ends at the files, which outlive any executor; later reads prune columns and know
+    their size, so the planner can choose joins by it.
+    """
     spark = df.sparkSession
-    folder = shared_dir(spark)
-    if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(folder)
-    return df.checkpoint(eager=True)
+    path = f"{shared_dir(spark)}/tables/{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
 
 
 def task_slots(spark: SparkSession) -> int:

@@ -60,7 +60,7 @@ def labelled_texts(documents: DataFrame) -> DataFrame:
         gold_intent().alias("gold_intent"),
         tx.keyword_label(F.col("text"), LANGUAGE_RULES).alias("predicted_intent"),
         tx.keyword_vote_share(F.col("text"), LANGUAGE_RULES).alias("confidence"),
-        py_round(F.least(F.lit(1.0), F.col("n_chars") / 1000.0), 4).alias("top_retrieval_sim"),
+        py_round("least(1D, n_chars / 1000D)", 4).alias("top_retrieval_sim"),
     )
 
 
