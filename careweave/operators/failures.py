@@ -39,7 +39,7 @@ def failure_cases(predictions: DataFrame) -> DataFrame:
             F.lit("/5.0 indicates sub-optimal resolution response.")))
         .otherwise(F.lit(
             "Straightforward query escalated to human agent, reducing automation efficiency.")))
-    failing = predictions.withColumn("failure_type", kind).where("failure_type is not null")
+    failing = tx.computed_once(predictions, failure_type=kind).where("failure_type is not null")
     return failing.select(
         "pair_id", F.col("customer_clean_text").alias("customer_message"), "gold_intent",
         "predicted_intent", py_round("confidence", 4).alias("confidence"),

@@ -16,6 +16,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from careweave import fixed_values as fv
 from careweave.functions import text as tx
+from careweave.session import task_slots
 from careweave.operators.classification import (
     argmax_label, class_weights, classification_metrics, majority_label,
 )
@@ -96,7 +97,8 @@ def fit_tfidf(
     """Unigrams and bigrams, smoothed idf, unit rows, balanced logistic regression."""
     stop = list(stop_words) if stop_words is not None else (
         StopWordsRemover.loadDefaultStopWords("english"))
-    weighted, n = _weighted(train, label)
+    weighted, n = _weighted(train.select(text, label), label)
+    weighted = weighted.repartition(task_slots(train.sparkSession))
     terms = Pipeline(stages=[
         RegexTokenizer(inputCol=text, outputCol="_tokens", pattern=tx.WORD, gaps=False),
         StopWordsRemover(inputCol="_tokens", outputCol="_words", stopWords=stop),
@@ -120,7 +122,8 @@ def fit_embedding(
     train: DataFrame, vector: str = "embedding", label: str = "intent", *, max_iter: int = 1000
 ) -> FittedClassifier:
     """The same classifier over a given embedding column."""
-    weighted, n = _weighted(train, label)
+    weighted, n = _weighted(train.select(vector, label), label)
+    weighted = weighted.repartition(task_slots(train.sparkSession))
     as_vector = _VectorColumn(vector)
     return _VectorClassifier(
         _fit(train, label, [], as_vector(weighted), max_iter, n), as_vector)

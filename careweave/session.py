@@ -52,3 +52,13 @@ def task_slots(spark: SparkSession) -> int:
     return max(
         spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions"))
     )
+
+
+def spread(table: DataFrame) -> DataFrame:
+    """A stored table with fewer splits than task slots, dealt out to all slots.
+
+    Large tables have more splits than slots and stay as they are. Only for tables read from
+    files: asking a frame with shuffles for its partitions would run it.
+    """
+    slots = task_slots(table.sparkSession)
+    return table if table.rdd.getNumPartitions() >= slots else table.repartition(slots)

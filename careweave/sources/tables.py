@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from careweave import fixed_values as fv
 from careweave.functions import text as tx
 from careweave.functions.numbers import py_round, rating_bin
+from careweave.session import spread
 
 BRAND = "BrandHelp"
 
@@ -22,8 +23,13 @@ LANGUAGE_RULES = {
 }
 
 
+# Tables with long texts, whose per-row work should not hang on the number of files.
+_TEXT_TABLES = ("documents", "conversations", "pages")
+
+
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{folder}/{name}.parquet")
+    df = spark.read.parquet(f"{folder}/{name}.parquet")
+    return spread(df) if name in _TEXT_TABLES else df
 
 
 def messages(conversations: DataFrame, brand: str = BRAND) -> DataFrame:
@@ -52,23 +58,23 @@ def gold_intent():
     return tx.mapped(F.col("lang"), LANGUAGE_INTENTS, fv.GENERAL_INTENT)
 
 
-def labelled_texts(documents: DataFrame) -> DataFrame:
+def labelled_texts(documents: DataFrame, *keep: str) -> DataFrame:
     """Documents with their gold label, rule label and rule confidence."""
-    return documents.select(
-        "doc_id",
-        tx.clean_text(F.col("text")).alias("customer_clean_text"),
-        gold_intent().alias("gold_intent"),
-        tx.keyword_label(F.col("text"), LANGUAGE_RULES).alias("predicted_intent"),
-        tx.keyword_vote_share(F.col("text"), LANGUAGE_RULES).alias("confidence"),
-        py_round("least(1D, n_chars / 1000D)", 4).alias("top_retrieval_sim"),
-    )
+    text = F.col("text")
+    labelled = tx.computed_once(
+        documents, customer_clean_text=tx.clean_text(text),
+        predicted_intent=tx.keyword_label(text, LANGUAGE_RULES),
+        confidence=tx.keyword_vote_share(text, LANGUAGE_RULES))
+    return labelled.select(
+        "doc_id", "customer_clean_text", gold_intent().alias("gold_intent"), "predicted_intent",
+        "confidence", *keep, py_round("least(1D, n_chars / 1000D)", 4).alias("top_retrieval_sim"))
 
 
 def golden_documents(documents: DataFrame, labels: DataFrame) -> DataFrame:
     """Labelled documents with the gold escalation flag (low quality or toxic)."""
     flags = labels.select(
         "doc_id", ((F.col("quality") == 0) | (F.col("toxic") == 1)).alias("gold_should_escalate"))
-    return labelled_texts(documents).join(flags, "doc_id")
+    return labelled_texts(documents.join(flags, "doc_id"), "gold_should_escalate")
 
 
 def ratings(events: DataFrame) -> DataFrame:
