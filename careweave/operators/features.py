@@ -11,19 +11,31 @@ from careweave.functions import text as tx
 from careweave.session import task_slots
 
 
-def word_counts(df: DataFrame, key: str, text: str, stop_words: Sequence[str] = ()) -> DataFrame:
+def word_counts(df: DataFrame, key: str, text: str) -> DataFrame:
     """(key, term, tf), one row per distinct term of a text."""
     terms = df.select(key, F.explode(tx.words(F.col(text))).alias("term"))
-    if stop_words:
-        terms = terms.where(~F.col("term").isin(list(stop_words)))
     return terms.groupBy(key, "term").agg(F.count("*").alias("tf"))
 
 
-def vocabulary(counts: DataFrame, max_features: int = fv.MAX_FEATURES) -> DataFrame:
-    """The ``max_features`` terms with the highest corpus count: (term, df, total)."""
+def vocabulary(
+    df: DataFrame, text: str, *, stop_words: Sequence[str] = (), max_features: int = fv.MAX_FEATURES
+) -> DataFrame:
+    """The ``max_features`` terms with the highest corpus count: (term, df, total).
+
+    Each text contributes its words (corpus count) and its distinct words (document count);
+    both are summed per term inside the task first, so no (text, term) row is ever shuffled.
+    """
+    def counted(values: Column, total: int, documents: int) -> Column:
+        return F.transform(values, lambda w: F.struct(
+            w.alias("term"), F.lit(total).alias("total"), F.lit(documents).alias("df")))
+
+    both = F.concat(counted(F.col("w"), 1, 0), counted(F.array_distinct("w"), 0, 1))
+    terms = df.select(tx.words(F.col(text)).alias("w")).select(F.inline(both))
+    if stop_words:
+        terms = terms.where(~F.col("term").isin(list(stop_words)))
     return (
-        counts.groupBy("term")
-        .agg(F.count("*").alias("df"), F.sum("tf").alias("total"))
+        terms.groupBy("term")
+        .agg(F.sum("df").alias("df"), F.sum("total").alias("total"))
         .orderBy(F.desc("total"), F.asc("term")).limit(max_features)
     )
 
@@ -33,21 +45,22 @@ def smoothed_idf(df_column: Column, n_documents: Column) -> Column:
 
 
 def tfidf_terms(
-    df: DataFrame, key: str, text: str, *, stop_words: Sequence[str] = (),
+    df: DataFrame, text: str, *, stop_words: Sequence[str] = (),
     max_features: int = fv.MAX_FEATURES,
 ) -> DataFrame:
     """Vocabulary with document frequency, corpus count and idf."""
     n = df.agg(F.count("*").alias("n"))
-    return vocabulary(word_counts(df, key, text, stop_words), max_features).select(
+    known = vocabulary(df, text, stop_words=stop_words, max_features=max_features)
+    return known.select(
         "term", "df", "total", smoothed_idf(F.col("df"), n.scalar()).alias("idf"))
 
 
 def fit_terms(
-    corpus: DataFrame, key: str, text: str, *, stop_words: Sequence[str] = (),
+    corpus: DataFrame, text: str, *, stop_words: Sequence[str] = (),
     max_features: int = fv.MAX_FEATURES,
 ) -> DataFrame:
     """The feature model as a table: (term, term_id, idf); at most ``max_features`` rows."""
-    terms = tfidf_terms(corpus, key, text, stop_words=stop_words, max_features=max_features)
+    terms = tfidf_terms(corpus, text, stop_words=stop_words, max_features=max_features)
     # At most max_features rows are left here, so one ordered pass numbers them.
     ordered = terms.agg(F.array_sort(F.collect_list(F.struct("term", "idf"))).alias("t"))
     return ordered.select(F.posexplode("t").alias("term_id", "s")).select(

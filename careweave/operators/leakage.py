@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from careweave.functions import text as tx
+from careweave.operators.skew import HOT_ROWS, salted_join, split_join
 
 _KEY = "_text_key"
 
@@ -21,18 +22,23 @@ def exclude_golden(
     train: DataFrame, golden: DataFrame, *, train_text: str = "customer_clean_text",
     golden_text: str = "customer_clean_text",
 ) -> DataFrame:
-    """Training rows whose text is not an evaluation text."""
-    return _keyed(train, train_text).join(
-        _keys(golden, golden_text), _KEY, "left_anti").drop(_KEY)
+    """Training rows whose text is not an evaluation text.
+
+    A text may have very many copies in training, and the evaluation set is the small side, so
+    its keys are repeated for every part rather than counting the training texts first.
+    """
+    return salted_join(
+        _keyed(train, train_text), _keys(golden, golden_text), _KEY, "left_anti").drop(_KEY)
 
 
 def leaked_golden(
     train: DataFrame, golden: DataFrame, *, train_text: str = "customer_clean_text",
-    golden_text: str = "customer_clean_text",
+    golden_text: str = "customer_clean_text", hot_rows: int = HOT_ROWS,
 ) -> DataFrame:
     """Evaluation rows whose text also occurs in training."""
-    return _keyed(golden, golden_text).join(
-        _keys(train, train_text), _KEY, "left_semi").drop(_KEY)
+    return split_join(
+        _keyed(golden, golden_text), _keys(train, train_text), _KEY, "left_semi",
+        min_rows=hot_rows).drop(_KEY)
 
 
 def assert_no_leak(train: DataFrame, golden: DataFrame, **columns: str) -> bool:

@@ -21,6 +21,7 @@ from careweave.operators.classification import (
     argmax_label, class_weights, classification_metrics, majority_label,
 )
 
+MAX_CLASSES = 1000
 PREDICTION_COLUMNS = ["predicted_intent", "confidence", "all_intent_probabilities"]
 
 
@@ -63,11 +64,18 @@ def majority_predict(train: DataFrame, df: DataFrame, label: str = "intent") ->
 
 
 def _weighted(train: DataFrame, label: str) -> tuple[DataFrame, int]:
-    """Training rows with balanced class weights, and their number."""
-    weights = class_weights(train, label).select(
-        F.col("label").alias(label), F.col("weight").alias("_weight"))
-    weighted = train.join(weights, label)
-    return weighted, train.count()
+    """Training rows with balanced class weights, and their number.
+
+    The classes have to fit a coefficient matrix anyway; their weights become a constant
+    lookup, so a class that holds most rows does not meet in one task.
+    """
+    train = train.where(F.col(label).isNotNull())
+    weights = class_weights(train, label).limit(MAX_CLASSES + 1).collect()
+    if not weights or len(weights) > MAX_CLASSES:
+        raise ValueError(f"expected 1 to {MAX_CLASSES} classes in {label!r}, found {len(weights)}")
+    known = {r["label"]: r["weight"] for r in weights}
+    weighted = train.withColumn("_weight", tx.mapped(F.col(label), known, None))
+    return weighted, sum(r["n"] for r in weights)
 
 
 def _classifier(n: int, max_iter: int) -> LogisticRegression:

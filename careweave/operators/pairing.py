@@ -8,6 +8,7 @@ from careweave import fixed_values as fv
 from careweave.functions import text as tx
 from careweave.functions.numbers import round_columns
 from careweave.operators.curation import keep_first, preprocess_messages
+from careweave.operators.skew import HOT_ROWS, split_join
 from careweave.sources.generators import training_corpus
 
 _ORDER = ("created_at", "support_tweet_id")
@@ -25,7 +26,8 @@ def assert_unique_ids(messages: DataFrame) -> None:
 
 
 def reconstruct_pairs(
-    messages: DataFrame, brand: str = fv.DEFAULT_BRAND, *, min_tokens: int = fv.MIN_TOKENS
+    messages: DataFrame, brand: str = fv.DEFAULT_BRAND, *, min_tokens: int = fv.MIN_TOKENS,
+    hot_replies: int = HOT_ROWS,
 ) -> DataFrame:
     """Brand replies joined to the customer message they answer, identical pairs kept once.
 
@@ -57,7 +59,12 @@ def reconstruct_pairs(
             F.col("clean_text").alias("customer_clean_text"),
         )
     )
-    pairs = replies.join(parents, "customer_tweet_id").select(
+    # One question may draw a large share of all replies; counting them needs two narrow columns.
+    reply_ids = messages.where(F.col("is_brand")).select(
+        F.nullif("in_reply_to_tweet_id", F.lit("")).alias("customer_tweet_id"))
+    pairs = split_join(
+        replies, parents, "customer_tweet_id", hot_source=reply_ids, min_rows=hot_replies,
+    ).select(
         F.concat_ws("_", "customer_tweet_id", "support_tweet_id").alias("pair_id"),
         "customer_tweet_id", "customer_author_id", "customer_query", "customer_clean_text",
         "support_tweet_id", "support_author_id", "support_response", "support_clean_text",

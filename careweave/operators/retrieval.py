@@ -16,7 +16,7 @@ from careweave.functions import text as tx, vectors as vec
 from careweave.operators import features
 from careweave.session import materialize, task_slots
 
-BLOCK_ROWS = 16384
+BLOCK_ROWS = 65536
 _MIN_BLOCK_ROWS = 64
 _GRP = "_grp"
 
@@ -35,7 +35,7 @@ def build_text_index(
     if pairs.isEmpty():
         raise ValueError("Cannot build index on empty pairs DataFrame.")
     terms = materialize(features.fit_terms(
-        pairs, key, text, stop_words=stop_words, max_features=max_features))
+        pairs, text, stop_words=stop_words, max_features=max_features))
     return pairs.join(features.sparse_vectors(pairs, key, text, terms), key), terms
 
 
@@ -85,7 +85,8 @@ def _kernel(k: int, sparse: bool):
         for column in ("m1", "m2", "m3"):
             for i, value in enumerate(right[column].to_pylist()):
                 if value:
-                    by_key.setdefault(value, set()).add(i)
+                    by_key.setdefault(value, []).append(i)
+        by_key = {value: np.array(found) for value, found in by_key.items()}
         masks = list(zip(*(left[c].to_pylist() for c in ("m1", "m3"))))
 
         if sparse:
@@ -114,22 +115,21 @@ def _kernel(k: int, sparse: bool):
             c_matrix = rows(right["vec"])[1].reshape(-1, dim)
 
             def scores():
-                for start in range(0, len(q_ids), 256):
-                    yield from q_matrix[start:start + 256] @ c_matrix.T
+                for start in range(0, len(q_ids), 64):
+                    yield from q_matrix[start:start + 64] @ c_matrix.T
 
         found_q, found_c, found_s = [], [], []
         for i, row in enumerate(scores()):
             row = np.round(np.maximum(row, 0.0), 4)
             for value in masks[i]:
                 if value and value in by_key:
-                    row[list(by_key[value])] = -1.0
-            if n_cases > k:
-                floor = np.partition(row, n_cases - k)[n_cases - k]
-                best = np.flatnonzero(row >= max(floor, 0.0))
-                best = best[np.argsort(-row[best], kind="stable")][:k]
-            else:
-                best = np.argsort(-row, kind="stable")
-                best = best[row[best] >= 0.0]
+                    row[by_key[value]] = -1.0
+            # The k-th best score: fewer than k cases lie above it, ties come in id order.
+            kth = np.partition(row, n_cases - k)[n_cases - k] if n_cases > k else 0.0
+            floor = max(kth, 0.0)
+            above, ties = np.flatnonzero(row > floor), np.flatnonzero(row == floor)
+            above = above[np.argsort(-row[above], kind="stable")]
+            best = np.concatenate([above, ties[:k - len(above)]])
             found_q.extend([q_ids[i]] * len(best))
             found_c.extend(c_ids[j] for j in best)
             found_s.extend(row[best].tolist())
@@ -144,10 +144,10 @@ def _blocks(n: Column, block_rows: int, slots: int) -> Column:
     return F.greatest(F.lit(1), F.ceil(n / float(block_rows)), wanted).cast("int")
 
 
-def _block_counts(queries: DataFrame, cases: DataFrame, block_rows: int, slots: int) -> DataFrame:
+def _block_counts(queries: DataFrame, cases: DataFrame, block_rows: int) -> DataFrame:
     """(_grp, _nq, _nc): into how many blocks each group's queries and cases are cut."""
     n = F.count("*")
-    left = queries.groupBy(_GRP).agg(_blocks(n, block_rows, slots).alias("_nq"))
+    left = queries.groupBy(_GRP).agg(_blocks(n, block_rows, 1).alias("_nq"))
     right = cases.groupBy(_GRP).agg(_blocks(n, block_rows, 1).alias("_nc"))
     return left.join(right, _GRP)
 
@@ -164,7 +164,7 @@ def _block_join(
     slots = task_slots(queries.sparkSession)
     if grouped:
         # One row per group, and the caller bounds the groups: small enough to broadcast.
-        counts = F.broadcast(_block_counts(queries, cases, block_rows, slots))
+        counts = F.broadcast(_block_counts(queries, cases, block_rows))
         queries, cases = queries.join(counts, _GRP), cases.join(counts, _GRP)
     else:
         n_query, n_case = queries.count(), cases.count()
@@ -257,7 +257,7 @@ def approximate_top_k(
         for t in range(tables):
             code = F.lit(t << bits)
             for b in range(bits):
-                plane = F.array(*[F.lit(float(x)) for x in planes[t, b]])
+                plane = F.expr("array(" + ", ".join(f"{x!r}D" for x in planes[t, b].tolist()) + ")")
                 code = code + F.when(vec.dot(v, plane) >= 0, F.lit(1 << b)).otherwise(F.lit(0))
             per_table.append(code)
         return F.explode(F.array(*per_table))

@@ -324,7 +324,7 @@ def knn_lsh(spark, d):
 @query
 def tfidf_terms(spark, d):
     return round_columns(features.tfidf_terms(
-        _documents(spark, d), "doc_id", "text", stop_words=STOP_WORDS), ["idf"])
+        _documents(spark, d), "text", stop_words=STOP_WORDS), ["idf"])
 
 
 @query

@@ -36,6 +36,31 @@ def test_duplicate_ids_and_duplicate_pairs(spark, messages):
     pairing.assert_unique_ids(messages)
 
 
+@pytest.mark.parametrize("hot", [1, 5, 1000])
+def test_hot_question_and_hot_text(spark, hot):
+    """A third of all replies answer one question; a third of all texts are copies."""
+    rows = [("q", "ana", "", "0", "why is it late")]
+    rows += [(f"q{i}", "bo", "", "0", f"question number {i} here") for i in range(40)]
+    rows += [(f"a{i}", "Shop", "q" if i % 3 == 0 else f"q{i % 40}", "1", f"answer with number {i}")
+             for i in range(60)]
+    messages = spark.createDataFrame(
+        rows, "tweet_id string, author_id string, in_reply_to_tweet_id string, created_at string, text string"
+    ).repartition(8)
+    want = {f"{r[2]}_{r[0]}" for r in rows if r[1] == "Shop"}
+    got = [r["pair_id"] for r in pairing.reconstruct_pairs(messages, "Shop", hot_replies=hot).collect()]
+    assert len(got) == len(want) and set(got) == want
+
+    train = spark.createDataFrame(
+        [(i, "Copied Text" if i % 3 == 0 else f"text {i}") for i in range(60)],
+        "i int, customer_clean_text string").repartition(8)
+    golden = spark.createDataFrame([("copied text",), ("text 7",), ("x",)], "customer_clean_text string")
+    kept = {r["i"] for r in leakage.exclude_golden(train, golden).collect()}
+    assert kept == {i for i in range(60) if i % 3 and i != 7}
+    leaked = leakage.leaked_golden(train, golden, hot_rows=hot)
+    assert sorted(r[0] for r in leaked.collect()) == ["copied text", "text 7"]
+    assert leakage.leaked_golden(golden, train, hot_rows=hot).count() == 21
+
+
 def test_pairs_keep_their_schema_when_empty(messages):
     empty = pairing.reconstruct_pairs(messages.where("false"), "Shop")
     assert empty.columns == store.PAIR_COLUMNS and empty.count() == 0

@@ -92,7 +92,7 @@ def pairs(spark):
 
 
 def test_text_vectors(spark, pairs):
-    terms = features.fit_terms(pairs, "pair_id", "customer_clean_text", stop_words=("to",))
+    terms = features.fit_terms(pairs, "customer_clean_text", stop_words=("to",))
     names = {r["term"]: r for r in terms.collect()}
     assert "to" not in names and sorted(r["term_id"] for r in names.values()) == list(range(len(names)))
     assert names["package"]["idf"] == pytest.approx(np.log(6 / 3) + 1)
@@ -100,7 +100,7 @@ def test_text_vectors(spark, pairs):
         pairs, "pair_id", "customer_clean_text", terms).collect()}
     assert rows["p5"]["term_ids"] == []
     assert sum(w * w for w in rows["p3"]["weights"]) == pytest.approx(1.0)
-    few = features.fit_terms(pairs, "pair_id", "customer_clean_text", max_features=3)
+    few = features.fit_terms(pairs, "customer_clean_text", max_features=3)
     assert [r["term"] for r in few.orderBy("term").collect()] == ["card", "credited", "not"]
 
 
