@@ -1,7 +1,5 @@
 """Dense vector expressions on ``array<double>`` columns."""
 
-from __future__ import annotations
-
 from pyspark.sql import Column, functions as F
 
 from careweave import fixed_values as fv
@@ -26,3 +24,25 @@ def l2_normalize(vector: Column) -> Column:
 def argmax(vector: Column) -> Column:
     """Position (from 0) of the first largest element."""
     return (F.array_position(vector, F.array_max(vector)) - 1).cast("int")
+
+
+def hyperplane_codes(vector: Column, dim: int, tables: int, bits: int, seed: int) -> Column:
+    """One code per table: which side of ``bits`` random hyperplanes the vector is on.
+
+    Codes of different tables never coincide, so they can share one key column. The Arrow
+    function is nested so that it ships by value.
+    """
+    import numpy as np
+    import pandas as pd
+
+    planes = np.random.default_rng(seed).standard_normal((tables * bits, dim))
+
+    @F.pandas_udf("array<int>")
+    def codes(vectors: pd.Series) -> pd.Series:
+        if len(vectors) == 0:
+            return pd.Series([], dtype=object)
+        sides = (np.stack(vectors.to_numpy()) @ planes.T >= 0).reshape(-1, tables, bits)
+        packed = sides @ (1 << np.arange(bits)) + (np.arange(tables) << bits)
+        return pd.Series(list(packed.astype("int32")))
+
+    return codes(vector)

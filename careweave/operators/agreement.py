@@ -76,20 +76,20 @@ def rater_agreement(
         return ranks.where(F.col("side") == side).select(
             F.col("v").alias(side), F.col("rank").alias(f"r{side}"))
 
-    facts = cells.agg(
+    facts = cells.agg(F.struct(
         F.sum("n").alias("rows"),
         F.sort_array(F.array_union(F.collect_set(rating_bin(F.col("h"))),
-                                   F.collect_set(rating_bin(F.col("j"))))).alias("labels"))
+                                   F.collect_set(rating_bin(F.col("j"))))).alias("labels")))
     # Ranks are centred for the sums; quadratic weights use the position in the sorted union of
-    # bins that occur. The facts are one row, so they join every cell by broadcast.
-    half = (F.col("rows") + 1) / 2.0
+    # bins that occur.
+    half = (F.col("facts.rows") + 1) / 2.0
     placed = (
         cells.join(ranks_of("h"), "h").join(ranks_of("j"), "j")
-        .withColumn("one", F.lit(1)).join(F.broadcast(facts.withColumn("one", F.lit(1))), "one")
+        .withColumn("facts", facts.scalar())
         .withColumns({"rh": F.col("rh") - half, "rj": F.col("rj") - half,
                       "bh": rating_bin(F.col("h")), "bj": rating_bin(F.col("j"))})
-        .withColumns({"ih": F.array_position("labels", F.col("bh")).cast("double"),
-                      "ij": F.array_position("labels", F.col("bj")).cast("double")}))
+        .withColumns({"ih": F.array_position("facts.labels", F.col("bh")).cast("double"),
+                      "ij": F.array_position("facts.labels", F.col("bj")).cast("double")}))
     n, ih, ij = F.col("n"), F.col("ih"), F.col("ij")
     total = F.sum(n)
     observed = F.sum(n * (ih - ij) * (ih - ij))

@@ -96,9 +96,10 @@ def brand_statistics(
         F.count("*").alias("usable_customer_support_pairs"),
         F.count_distinct("customer_tweet_id").alias("approximate_thread_count"),
     )
-    both = counts.select(F.lit(brand).alias("brand"), "*").join(
-        usable.select(F.lit(brand).alias("brand"), "*"), "brand")
-    return round_columns(both.withColumn(
+    # Two one-row frames become one row: each column is filled in exactly one of them.
+    both = counts.unionByName(usable, allowMissingColumns=True)
+    one = both.agg(*[F.max(c).alias(c) for c in both.columns]).select(F.lit(brand).alias("brand"), "*")
+    return round_columns(one.withColumn(
         "support_reply_ratio",
         F.col("usable_customer_support_pairs") / F.greatest(F.lit(1), F.col("customer_messages")),
     ), ["support_reply_ratio"])

@@ -248,24 +248,15 @@ def approximate_top_k(
     A query meets the cases that share its code in at least one table. There are
     ``tables * 2**bits`` groups; a crowded one is cut into blocks like any other.
     """
-    import numpy as np
-
-    planes = np.random.default_rng(seed).standard_normal((tables, bits, dim))
-
-    def codes(v: Column) -> Column:
-        per_table = []
-        for t in range(tables):
-            code = F.lit(t << bits)
-            for b in range(bits):
-                plane = F.expr("array(" + ", ".join(f"{x!r}D" for x in planes[t, b].tolist()) + ")")
-                code = code + F.when(vec.dot(v, plane) >= 0, F.lit(1 << b)).otherwise(F.lit(0))
-            per_table.append(code)
-        return F.explode(F.array(*per_table))
-
     q_masks = _masks(queries, [query_id] if query_id else [], None)
     c_masks = _masks(cases, list(case_ids), None)
-    left = _side(queries, query_key, vector, None, "query", q_masks, codes(F.col(vector)))
-    right = _side(cases, case_key, vector, None, "case", c_masks, codes(F.col(vector)))
+
+    def coded(df: DataFrame) -> DataFrame:
+        return df.withColumn("_codes", vec.hyperplane_codes(F.col(vector), dim, tables, bits, seed))
+
+    group = F.explode("_codes")
+    left = _side(coded(queries), query_key, vector, None, "query", q_masks, group)
+    right = _side(coded(cases), case_key, vector, None, "case", c_masks, group)
     partial = _block_join(
         left, right, k=k, sparse=False, block_rows=block_rows, grouped=True)
     # The same case can come back from several tables.

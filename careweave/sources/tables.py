@@ -23,13 +23,13 @@ LANGUAGE_RULES = {
 }
 
 
-# Tables with long texts, whose per-row work should not hang on the number of files.
-_TEXT_TABLES = ("documents", "conversations", "pages")
+# Tables with costly work per row, which should not hang on the number of files.
+_WORK_TABLES = ("documents", "conversations", "pages", "embeddings")
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     df = spark.read.parquet(f"{folder}/{name}.parquet")
-    return spread(df) if name in _TEXT_TABLES else df
+    return spread(df) if name in _WORK_TABLES else df
 
 
 def messages(conversations: DataFrame, brand: str = BRAND) -> DataFrame:
