@@ -57,11 +57,12 @@ def resolve_label(
         output, F.coalesce(*present, tx.keyword_label(F.col(text_column), rules, default)))
 
 
-def rules_frame(spark, rules: Mapping[str, Sequence[str]] = fv.KEYWORD_RULES) -> DataFrame:
-    """The rule list as a dimension table (label, priority, keywords)."""
+def taxonomy_frame(spark, rules: Mapping[str, Sequence[str]] = fv.KEYWORD_RULES) -> DataFrame:
+    """The labels as a dimension table (label, priority, description, keywords)."""
     return spark.createDataFrame(
-        [(label, i, list(words)) for i, (label, words) in enumerate(rules.items())],
-        "label string, priority int, keywords array<string>")
+        [(label, i, text, list(rules.get(label, [])))
+         for i, (label, text) in enumerate(fv.INTENT_DESCRIPTIONS.items())],
+        "label string, priority int, description string, keywords array<string>")
 
 
 def sample_rows(

@@ -29,16 +29,12 @@ def failure_cases(predictions: DataFrame) -> DataFrame:
               & (F.col("confidence") > fv.OVERCAUTIOUS_CONFIDENCE), overcautious))
     shown = F.coalesce(predicted, F.lit("nan"))
     described = (
-        F.when(F.col("failure_type") == wrong, F.concat(
-            F.lit("Predicted intent '"), shown, F.lit("' instead of true gold intent '"), gold,
-            F.lit("'.")))
-        .when(F.col("failure_type") == unsafe,
-              F.lit("System auto-handled a query requiring human escalation."))
-        .when(F.col("failure_type") == low, F.concat(
-            F.lit("Judge rating of "), shortest_text(overall),
-            F.lit("/5.0 indicates sub-optimal resolution response.")))
-        .otherwise(F.lit(
-            "Straightforward query escalated to human agent, reducing automation efficiency.")))
+        F.when(F.col("failure_type") == wrong, F.format_string(
+            fv.WHAT_FAILED_FORMATS[wrong], shown, gold))
+        .when(F.col("failure_type") == unsafe, F.lit(fv.WHAT_FAILED_FORMATS[unsafe]))
+        .when(F.col("failure_type") == low, F.format_string(
+            fv.WHAT_FAILED_FORMATS[low], shortest_text(overall)))
+        .otherwise(F.lit(fv.WHAT_FAILED_FORMATS[overcautious])))
     failing = tx.computed_once(predictions, failure_type=kind).where("failure_type is not null")
     return failing.select(
         "pair_id", F.col("customer_clean_text").alias("customer_message"), "gold_intent",

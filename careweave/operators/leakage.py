@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from careweave import fixed_values as fv
 from careweave.functions import text as tx
 from careweave.operators.skew import HOT_ROWS, salted_join, split_join
 
@@ -47,9 +48,7 @@ def assert_no_leak(train: DataFrame, golden: DataFrame, **columns: str) -> bool:
     found = leaked_golden(train, golden, **columns).agg(
         F.count("*").alias("n"), F.min(text).alias("example")).head()
     if found["n"]:
-        raise ValueError(
-            f"[DATA LEAKAGE ERROR] {found['n']} golden set examples found in training data! "
-            f"Example leaked item: '{found['example']}'")
+        raise ValueError(fv.LEAK_ERROR.format(n=found["n"], example=found["example"]))
     return True
 
 

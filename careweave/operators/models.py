@@ -83,7 +83,7 @@ def _classifier(n: int, max_iter: int) -> LogisticRegression:
     # (balanced weights add up to n).
     return LogisticRegression(
         featuresCol="features", labelCol="_label", weightCol="_weight", maxIter=max_iter,
-        regParam=1.0 / n, elasticNetParam=0.0, standardization=False)
+        regParam=1.0 / n, elasticNetParam=0.0, standardization=False, tol=1e-4)
 
 
 def _fit(train: DataFrame, label: str, feature_stages: list, features, max_iter: int,

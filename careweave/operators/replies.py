@@ -45,10 +45,9 @@ def long_replies(df: DataFrame, keep: list[str]) -> DataFrame:
 
 def grounding_context(cases: DataFrame, by: str = "query_id") -> DataFrame:
     """Numbered precedents of each query, best first (cases carry at most k rows per query)."""
-    block = F.concat(
-        F.lit("Precedent "), F.col("rank").cast("string"), F.lit(" (Similarity: "),
-        shortest_text(F.col("similarity_score")), F.lit("):\n  Customer: "),
-        F.coalesce("case_text", F.lit("")), F.lit("\n  Support Resolution: "),
+    block = F.format_string(
+        fv.PRECEDENT_FORMAT, F.col("rank").cast("string"),
+        shortest_text(F.col("similarity_score")), F.coalesce("case_text", F.lit("")),
         F.coalesce("case_response", F.lit("")))
     return cases.groupBy(by).agg(F.array_join(F.transform(
         F.array_sort(F.collect_list(F.struct(F.col("rank"), block.alias("block")))),

@@ -23,23 +23,21 @@ def _signals(
     general_intent: str, min_confidence: float, min_sim: float, general_min_confidence: float,
 ) -> list[tuple[Column, str, Column]]:
     """(fires, weight name, reason text) per signal, in reporting order."""
-    confidence, top_sim = F.col(confidence_name), F.col(sim_name)
+    confidence, top_sim, texts = F.col(confidence_name), F.col(sim_name), fv.REASON_FORMATS
     hits = tx.keyword_hits(query, risk_keywords, whole_word=whole_word)
     listed = F.concat(F.lit("['"), F.array_join(hits, "', '"), F.lit("']"))
     return [
         (tx.contains_any(query, risk_keywords, whole_word=whole_word), "keywords",
-         F.concat(F.lit("Contains security/legal risk keywords: "), listed)),
+         F.format_string(texts["keywords"], listed)),
         (intent.isin(list(sensitive_intents)), "sensitive",
-         F.concat(F.lit("Intent '"), intent,
-                  F.lit("' involves sensitive financial or credential actions"))),
+         F.format_string(texts["sensitive"], intent)),
         (confidence < min_confidence, "confidence",
-         F.concat(F.lit("Low intent classification confidence ("), fixed_text(confidence_name, 2),
-                  F.lit(f" < {_plain(min_confidence)})"))),
+         F.format_string(texts["confidence"], fixed_text(confidence_name, 2),
+                         F.lit(_plain(min_confidence)))),
         (top_sim < min_sim, "evidence",
-         F.concat(F.lit("Weak historical retrieval evidence (similarity "), fixed_text(sim_name, 2),
-                  F.lit(f" < {_plain(min_sim)})"))),
+         F.format_string(texts["evidence"], fixed_text(sim_name, 2), F.lit(_plain(min_sim)))),
         ((intent == general_intent) & (confidence < general_min_confidence), "general",
-         F.lit("Unclear/General query intent without high confidence pattern match")),
+         F.lit(texts["general"])),
     ]
 
 

@@ -35,8 +35,7 @@ def training_fallback(train: DataFrame, golden: DataFrame) -> DataFrame:
         return written
     return spark.createDataFrame([
         (f"sample_{i}", f"tw_sample_{i}", f"supp_sample_{i}",
-         f"Sample training customer query for {intent} issue #{i}",
-         f"Sample support resolution response for {intent}", intent)
+         fv.SAMPLE_QUESTION.format(intent=intent, i=i), fv.SAMPLE_ANSWER.format(intent=intent), intent)
         for i, intent in enumerate(fv.INTENTS)
     ], "pair_id string, customer_tweet_id string, support_tweet_id string, "
        "customer_clean_text string, support_response string, intent string")

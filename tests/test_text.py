@@ -136,6 +136,11 @@ def test_label_resolution_is_per_row(spark):
     assert [r["intent"] for r in curation.resolve_label(df).collect()] == ["X", "Y", "REFUND_RETURN"]
 
 
+def test_taxonomy(spark):
+    rows = curation.taxonomy_frame(spark).orderBy("priority").collect()
+    assert [r["label"] for r in rows] == fv.INTENTS and rows[-1]["keywords"] == []
+
+
 def test_samples_do_not_depend_on_partitioning(spark):
     df = spark.range(200).withColumn("g", F.col("id") % 3)
     a = {r["id"] for r in curation.sample_rows(df.repartition(7), 20, key="id").collect()}
