@@ -10,6 +10,8 @@ from careweave import fixed_values as fv
 from careweave.functions import text as tx
 from careweave.session import task_slots
 
+MAX_TERMS = 1_000_000
+
 
 def word_counts(df: DataFrame, key: str, text: str) -> DataFrame:
     """(key, term, tf), one row per distinct term of a text."""
@@ -60,6 +62,8 @@ def fit_terms(
     max_features: int = fv.MAX_FEATURES,
 ) -> DataFrame:
     """The feature model as a table: (term, term_id, idf); at most ``max_features`` rows."""
+    if max_features > MAX_TERMS:
+        raise ValueError(f"max_features {max_features} exceeds {MAX_TERMS}, the most to broadcast")
     terms = tfidf_terms(corpus, text, stop_words=stop_words, max_features=max_features)
     # At most max_features rows are left here, so one ordered pass numbers them.
     ordered = terms.agg(F.array_sort(F.collect_list(F.struct("term", "idf"))).alias("t"))
@@ -71,7 +75,7 @@ def sparse_vectors(df: DataFrame, key: str, text: str, terms: DataFrame) -> Data
     """(key, term_ids, weights): unit TF-IDF rows sorted by term id; empty where nothing is known.
 
     Texts shuffle once, by key; counting, packing and the final left join all run on that
-    partitioning. ``terms`` has at most ``max_features`` rows by construction, hence the broadcast.
+    partitioning. ``terms`` has at most ``MAX_TERMS`` rows by construction, hence the broadcast.
     """
     texts = df.select(key, text).repartition(task_slots(df.sparkSession), key)
     weighted = word_counts(texts, key, text).join(F.broadcast(terms), "term").select(

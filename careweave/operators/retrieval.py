@@ -206,13 +206,18 @@ def _side(df: DataFrame, key: str, vector: str, ids: str | None, prefix: str,
 
 
 def _masks(df: DataFrame, ids: list[str], text: str | None) -> list[Column]:
-    """Mask values m1..m3: two ids and the text key, prefixed so that they never mix."""
-    def tagged(tag: str, value: Column) -> Column:
-        return F.when(value != "", F.concat(F.lit(tag), value))
+    """Mask values m1..m3: two ids and the digest of the text key, prefixed to keep them apart.
 
-    id_values = [tagged("i:", F.col(c).cast("string")) for c in ids[:2]]
-    id_values += [F.lit(None).cast("string")] * (2 - len(id_values))
-    return [*id_values, tagged("t:", tx.text_key(F.col(text))) if text else F.lit(None).cast("string")]
+    Every row is copied to many blocks; a digest travels lighter than the text.
+    """
+    none = F.lit(None).cast("string")
+    values = [F.when(F.col(c).cast("string") != "", F.concat(F.lit("i:"), F.col(c).cast("string")))
+              for c in ids[:2]]
+    values += [none] * (2 - len(values))
+    if text is None:
+        return [*values, none]
+    key = tx.text_key(F.col(text))
+    return [*values, F.when(key != "", F.concat(F.lit("t:"), F.md5(key)))]
 
 
 def top_k(
