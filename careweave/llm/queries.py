@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from careweave.llm import exact
+from careweave.llm import bpe, exact, mixture, quality
 
 _LOWER = "translate(coalesce(text,''),'ABCDEFGHIJKLMNOPQRSTUVWXYZ','abcdefghijklmnopqrstuvwxyz')"
 
@@ -18,8 +18,36 @@ def op8_exact_dedup(spark, folder):
         "kept", F.col("doc_id").eqNullSafe(F.col("keep_id")))
 
 
+def op2_bpe(spark, folder):
+    import public_tokenizers
+
+    return bpe.encode_digests(_read(spark, folder, "documents"),
+                              public_tokenizers.path("byte_bpe_50k.json"))
+
+
+def _fold(n):
+    return F.crc32(F.col("doc_id").cast("string").cast("binary")) % n
+
+
+def quality_model(spark, folder):
+    return quality.fit(_read(spark, folder, "documents"),
+                       _read(spark, folder, "labels").where(_fold(3) != 1))
+
+
+def op4_quality(spark, folder):
+    scored = quality.scores(_read(spark, folder, "documents"), quality_model(spark, folder))
+    return scored.select("doc_id", (_fold(3) == 1).alias("held_out"), "score",
+                         (F.col("score") >= 0.5).cast("int").alias("predicted"))
+
+
+def op6_mixture(spark, folder):
+    return mixture.mix(_read(spark, folder, "documents")).select(
+        "doc_id", "size", "source_size", "target", "taken")
+
+
 def queries():
-    return {"op8_exact_dedup": op8_exact_dedup}
+    return {"op2_bpe": op2_bpe, "op4_quality": op4_quality, "op6_mixture": op6_mixture,
+            "op8_exact_dedup": op8_exact_dedup}
 
 
 def oracle_sql():
