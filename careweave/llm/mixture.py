@@ -28,7 +28,7 @@ def targets(sources: DataFrame, weights: tuple[int, ...], cap: float) -> DataFra
     rest = F.sum("source_size").over(whole) - F.coalesce(F.sum("most").over(full), F.lit(0))
     shared = F.sum("weight").over(whole) - F.coalesce(F.sum("weight").over(full), F.lit(0))
     out = out.withColumn("share", rest / shared)
-    out = out.withColumn("water", F.min(F.when(F.col("share") <= F.col("ratio"),
+    out = out.withColumn("water", F.max(F.when(F.col("share") <= F.col("ratio"),
                                                F.col("share"))).over(whole))
     return out.select("source", "rank", "source_size", "n_docs", F.least(
         F.col("most").cast("double"),

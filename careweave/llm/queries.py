@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from careweave.llm import bpe, exact, mixture, quality
+from careweave.llm import bpe, exact, minhash, mixture, quality
 
 _LOWER = "translate(coalesce(text,''),'ABCDEFGHIJKLMNOPQRSTUVWXYZ','abcdefghijklmnopqrstuvwxyz')"
 
@@ -45,8 +45,13 @@ def op6_mixture(spark, folder):
         "doc_id", "size", "source_size", "target", "taken")
 
 
+def op1_minhash(spark, folder):
+    return minhash.near_duplicates(_read(spark, folder, "documents")).withColumn(
+        "kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
+
+
 def queries():
-    return {"op2_bpe": op2_bpe, "op4_quality": op4_quality, "op6_mixture": op6_mixture,
+    return {"op1_minhash": op1_minhash, "op2_bpe": op2_bpe, "op4_quality": op4_quality, "op6_mixture": op6_mixture,
             "op8_exact_dedup": op8_exact_dedup}
 
 
