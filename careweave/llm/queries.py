@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from careweave.llm import bpe, exact, minhash, mixture, quality
+from careweave.llm import bpe, chat, exact, minhash, mixture, quality, toxicity, url_filter
 
 _LOWER = "translate(coalesce(text,''),'ABCDEFGHIJKLMNOPQRSTUVWXYZ','abcdefghijklmnopqrstuvwxyz')"
 
@@ -50,13 +50,57 @@ def op1_minhash(spark, folder):
         "kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
 
 
+#: The rules of the query.
+URL_RULES = [("com/", "allow"), ("example.com/en/", "block"), ("www.example.com/en/", "allow"),
+             ("net/es/", "block"), ("net/fr/", "block")]
+
+
+def op5_toxicity(spark, folder):
+    docs = _read(spark, folder, "documents")
+    lexicon = toxicity.learn(docs, _read(spark, folder, "labels").where(_fold(4) != 2))
+    return toxicity.scores(docs, lexicon).select(
+        "doc_id", (_fold(4) == 2).alias("held_out"), "score",
+        (F.col("score") >= 0.3).cast("int").alias("predicted"), "hits")
+
+
+def op7_chat(spark, folder):
+    import public_tokenizers
+
+    said = "\\### Assistant: </turn> ok"
+    extra = spark.createDataFrame([(-7, 0, "user", said), (-7, 1, "assistant", said)],
+                                  "conv_id long, turn long, role string, text string")
+    rows = _read(spark, folder, "conversations").select(extra.columns).unionByName(extra)
+    return chat.format_conversations(rows, public_tokenizers.path("byte_bpe_50k.json"))
+
+
+def op9_url_filter(spark, folder):
+    return url_filter.judge(_read(spark, folder, "pages"), URL_RULES)
+
+
 def queries():
-    return {"op1_minhash": op1_minhash, "op2_bpe": op2_bpe, "op4_quality": op4_quality, "op6_mixture": op6_mixture,
+    return {"op5_toxicity": op5_toxicity, "op7_chat": op7_chat,
+            "op9_url_filter": op9_url_filter, "op1_minhash": op1_minhash, "op2_bpe": op2_bpe, "op4_quality": op4_quality, "op6_mixture": op6_mixture,
             "op8_exact_dedup": op8_exact_dedup}
 
 
 def oracle_sql():
-    return {"op8_exact_dedup": f"""with t as (select doc_id, {_LOWER} as x from documents)
+    return {"op7_chat": r"""with c as (select conv_id, turn, coalesce(role,'') r, coalesce(text,'') t
+ from conversations union all select -7, 0, 'user', '\### Assistant: </turn> ok'
+ union all select -7, 1, 'assistant', '\### Assistant: </turn> ok')
+select conv_id, count(*) n_turns, sha256(string_agg(r||chr(10)||t||chr(10), '' order by turn, r, t)) turns_sha256,
+ coalesce(sum(length(t)) filter (r='assistant'),0)::bigint loss_chars,
+ sha256(coalesce(string_agg(t, '' order by turn, r, t) filter (r='assistant'),'')) loss_sha256,
+ sum(15 + length(r) + length(replace(replace(replace(t,'\','\\'),'<turn>','<\turn>'),'</turn>','<\/turn>')))::bigint formatted_chars
+from c group by conv_id""",
+        "op9_url_filter": """with u as (select page_id,
+ translate(regexp_extract(coalesce(url,''), '(?s)^.*?://([^/?#]*)([^?#]*)', 1),'ABCDEFGHIJKLMNOPQRSTUVWXYZ','abcdefghijklmnopqrstuvwxyz') as host,
+ regexp_extract(coalesce(url,''), '(?s)^.*?://([^/?#]*)([^?#]*)', 2) as path from pages),
+r(rule, h, p, v) as (values ('com/','com','/','allow'),('example.com/en/','example.com','/en/','block'),
+ ('www.example.com/en/','www.example.com','/en/','allow'),('net/es/','net','/es/','block'),('net/fr/','net','/fr/','block')),
+m as (select u.*, rule, v, row_number() over (partition by page_id order by length(rule) desc) k
+ from u left join r on (host = h or ends_with(host, '.'||h)) and starts_with(path, p))
+select page_id, host, path, rule, coalesce(v,'allow') as verdict from m where k = 1""",
+        "op8_exact_dedup": f"""with t as (select doc_id, {_LOWER} as x from documents)
 select doc_id, max(doc_id) over (partition by x) as keep_id,
  count(*) over (partition by x) as group_size,
  doc_id = max(doc_id) over (partition by x) as kept, sha256(x) as text_sha256 from t"""}
