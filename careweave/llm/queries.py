@@ -4,7 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from careweave.llm import bpe, chat, exact, minhash, mixture, quality, toxicity, url_filter
+from careweave.llm import (
+    bpe, chat, exact, fingerprint, license, minhash, mixture, quality, toxicity, url_filter,
+)
 
 _LOWER = "translate(coalesce(text,''),'ABCDEFGHIJKLMNOPQRSTUVWXYZ','abcdefghijklmnopqrstuvwxyz')"
 
@@ -77,8 +79,17 @@ def op9_url_filter(spark, folder):
     return url_filter.judge(_read(spark, folder, "pages"), URL_RULES)
 
 
+def op3_fingerprint(spark, folder):
+    return fingerprint.fingerprints(_read(spark, folder, "documents"))
+
+
+def op10_license(spark, folder):
+    return license.scan(_read(spark, folder, "documents"))
+
+
 def queries():
-    return {"op5_toxicity": op5_toxicity, "op7_chat": op7_chat,
+    return {"op3_fingerprint": op3_fingerprint, "op10_license": op10_license,
+            "op5_toxicity": op5_toxicity, "op7_chat": op7_chat,
             "op9_url_filter": op9_url_filter, "op1_minhash": op1_minhash, "op2_bpe": op2_bpe, "op4_quality": op4_quality, "op6_mixture": op6_mixture,
             "op8_exact_dedup": op8_exact_dedup}
 
