@@ -47,11 +47,15 @@ def fit(docs: DataFrame, labels: DataFrame, rows_per_class: int = 1500,
     Rows with null text, id or label are left out. One half of the rows fills the dictionaries
     with their first pieces, the other half fits the line, each class weighing the same.
     """
-    known = docs.select("doc_id", "text").join(labels.select("doc_id", "quality"), "doc_id")
-    known = known.where("text is not null")
-    picked = {y: [x.text for x in known.where(F.col("quality") == y).select(
-        F.expr(f"substring(text, 1, {PIECE})").alias("text"), F.xxhash64("doc_id").alias("h"))
-        .orderBy("h").limit(rows_per_class).collect()] for y in (1, 0)}
+    def sample(y: int) -> list[str]:
+        ids = labels.where(F.col("quality") == y).select("doc_id").distinct().orderBy(
+            F.xxhash64("doc_id"), "doc_id").limit(rows_per_class)
+        found = docs.select("doc_id", F.expr(f"substring(text, 1, {PIECE})").alias("text")).join(
+            F.broadcast(ids), "doc_id").where("text is not null")  # bounded by rows_per_class
+        return [x.text for x in found.orderBy(F.xxhash64("doc_id"), "doc_id", "text")
+                .limit(rows_per_class).collect()]
+
+    picked = {y: sample(y) for y in (1, 0)}
 
     def dictionary(texts: list[str]) -> bytes:
         half = texts[::2]
