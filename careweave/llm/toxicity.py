@@ -26,9 +26,12 @@ def learn(docs: DataFrame, labels: DataFrame, rows_per_class: int = 4000,
           shortest: int = 4, longest: int = 12, least: int = 5, margin: float = 3.0):
     """Lexicon of word beginnings, exception phrases: entry -> log odds, from at most
     ``rows_per_class`` rows of each label chosen by hash of the id."""
-    known = docs.select("doc_id", "text").join(labels.select("doc_id", "toxic"), "doc_id")
-    sample = [known.where(F.col("toxic") == y).orderBy(F.xxhash64("doc_id")).limit(rows_per_class)
-              for y in (1, 0)]
+    def chosen(y: int) -> DataFrame:
+        ids = labels.where(F.col("toxic") == y).select("doc_id", "toxic").distinct().orderBy(
+            F.xxhash64("doc_id"), "doc_id").limit(rows_per_class)
+        return docs.select("doc_id", "text").join(F.broadcast(ids), "doc_id")  # so many rows at most
+
+    sample = [chosen(y) for y in (1, 0)]
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
