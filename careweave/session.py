@@ -25,12 +25,14 @@ def build_session(app_name: str = "careweave", **settings: str) -> SparkSession:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """Folder shared by all executors: ``spark.checkpoint.dir``, or a new local one where unset."""
+    """Folder shared by all executors: ``spark.checkpoint.dir``; a new local one only in local mode."""
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if configured:
         return configured
     context = spark.sparkContext
     if context.getCheckpointDir() is None:
+        if not context.master.startswith("local") or context.master.startswith("local-cluster"):
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
         context.setCheckpointDir(tempfile.mkdtemp(prefix="careweave-"))
     return context.getCheckpointDir()
 
