@@ -3,10 +3,12 @@
 from __future__ import annotations
 
 import hashlib
+import math
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark.ml.feature import Bucketizer
 from pyspark.sql import DataFrame, functions as F
 
 from careweave.llm.minhash import Shingles
@@ -54,12 +56,14 @@ def fingerprints(docs: DataFrame) -> DataFrame:
     rows with equal ids are ordered by text; an empty table gives no rows; other columns are
     ignored.
     """
-    parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    parts = 4 * int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     rows = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"),
                        F.coalesce("doc_id", F.lit(-2**63)).alias("at"))
-    cuts = sorted(set(rows.approxQuantile("at", [i / parts for i in range(1, parts)], 0.2 / parts)))
-    ranged = rows.withColumn("part", sum(
-        ((F.col("at") < int(c)).cast("int") for c in cuts), F.lit(0)))
+    rows = rows.withColumn("place", -F.col("at").cast("double"))
+    cuts = sorted({*rows.approxQuantile("place", [i / parts for i in range(1, parts)], 0.2 / parts),
+                   -math.inf, 0.0, math.inf})
+    ranged = Bucketizer(splits=cuts, inputCol="place", outputCol="part").transform(rows).withColumn(
+        "part", F.col("part").cast("int")).drop("place")
     heads = ranged.groupBy("part").agg(F.max("at").alias("first"), F.min(F.struct(
         (-F.col("at")).alias("k"), "text")).getField("text").alias("t")).orderBy("part")
     firsts = [(r.part, r.first, r.t) for r in heads.collect()]  # one row per range
@@ -67,7 +71,7 @@ def fingerprints(docs: DataFrame) -> DataFrame:
     copies = spark.createDataFrame(
         [(None, t, at, firsts[i - 1][0], True) for i, (_, at, t) in enumerate(firsts)],
         "doc_id long, text string, at long, part int, copied boolean")
-    dealt = ranged.withColumn("copied", F.lit(False)).unionByName(copies).repartition(
+    dealt = ranged.withColumn("copied", F.lit(False)).unionByName(copies).repartitionById(
         parts, "part").sortWithinPartitions("part", "copied", F.desc("at"), "text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
