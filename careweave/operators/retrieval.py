@@ -67,6 +67,10 @@ def _kernel(k: int, sparse: bool):
     def run(left, right):
         import numpy as np
         import pyarrow as pa
+        import pyarrow.compute as pc
+
+        # A list without a value would shift all later rows of the flattened column.
+        left, right = (x.filter(pc.is_valid(x["vec"])) for x in (left, right))
 
         def rows(column):
             column = column.combine_chunks()
@@ -111,8 +115,14 @@ def _kernel(k: int, sparse: bool):
                     yield total
         else:
             dim = len(right["vec"][0])
-            q_matrix = rows(left["vec"])[1].reshape(-1, dim)
-            c_matrix = rows(right["vec"])[1].reshape(-1, dim)
+
+            def matrix(column):
+                lengths, values = rows(column)
+                if (lengths != dim).any():
+                    raise ValueError(f"vectors of {dim} and of {lengths[lengths != dim][0]} values")
+                return values.reshape(len(lengths), dim)
+
+            q_matrix, c_matrix = matrix(left["vec"]), matrix(right["vec"])
 
             def scores():
                 for start in range(0, len(q_ids), 64):
@@ -233,6 +243,8 @@ def top_k(
     clamped at 0 and rounded to 4 places; ties go to the smaller case id. Cases are masked
     *before* the cut to k: where one of ``case_ids`` equals ``query_id``, or where the text
     keys are equal, so a query always gets min(k, cases left) rows.
+    A null vector is like nothing: such a query gets no rows, such a case is in none. Dense
+    vectors of different lengths are an error.
     """
     q_masks = _masks(queries, [query_id] if query_id else [], query_text)
     c_masks = _masks(cases, list(case_ids), case_text)

@@ -141,3 +141,15 @@ def test_grounding_context(spark):
     assert grounding_context(cases).head()["context"] == (
         "Precedent 1 (Similarity: 1.0):\n  Customer: c1\n  Support Resolution: r1\n\n"
         "Precedent 2 (Similarity: 0.1):\n  Customer: c2\n  Support Resolution: r2")
+
+
+def test_null_and_odd_vectors(spark):
+    schema = "id long, vec array<double>"
+    cases = spark.createDataFrame([(1, [1.0, 0.0]), (2, None), (3, [0.0, 1.0]), (4, [1.0, 0.0])], schema)
+    queries = spark.createDataFrame([(1, [1.0, 0.0]), (2, None), (3, [0.0, 1.0])], schema)
+    got = retrieval.top_k(queries, cases, query_key="id", case_key="id", vector="vec", k=2)
+    assert sorted((r.query_id, r.rank, r.case_id, r.similarity_score) for r in got.collect()) == [
+        (1, 1, 1, 1.0), (1, 2, 4, 1.0), (3, 1, 3, 1.0), (3, 2, 1, 0.0)]
+    longer = spark.createDataFrame([(5, [1.0, 0.0, 0.0])], schema)
+    with pytest.raises(Exception, match="vectors of"):
+        retrieval.top_k(longer, cases, query_key="id", case_key="id", vector="vec", k=2).collect()
