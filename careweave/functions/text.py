@@ -55,10 +55,6 @@ def text_key(text: Column) -> Column:
     return F.lower(strip(F.coalesce(text, F.lit(""))))
 
 
-def is_blank(text: Column) -> Column:
-    return strip(F.coalesce(text, F.lit(""))) == ""
-
-
 def tokens(text: Column) -> Column:
     """Whitespace tokens; an empty array for blank text."""
     return F.array_remove(F.split(F.coalesce(text, F.lit("")), SPACE + "+"), "")

@@ -5,11 +5,6 @@ from pyspark.sql import Column, functions as F
 from careweave import fixed_values as fv
 
 
-def dot(left: Column, right: Column) -> Column:
-    return F.aggregate(
-        F.zip_with(left, right, lambda a, b: a * b), F.lit(0.0), lambda acc, x: acc + x)
-
-
 def norm(vector: Column) -> Column:
     return F.sqrt(F.aggregate(vector, F.lit(0.0), lambda acc, x: acc + x * x))
 

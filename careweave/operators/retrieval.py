@@ -309,7 +309,3 @@ def empty_cases(spark) -> DataFrame:
         T.StructField("query_id", T.StringType()), T.StructField("rank", T.IntegerType()),
         T.StructField("case_id", T.StringType()), T.StructField("similarity_score", T.DoubleType()),
     ]))
-
-
-def best_case(cases: DataFrame) -> DataFrame:
-    return cases.where("rank = 1")
