@@ -10,8 +10,6 @@ from careweave import fixed_values as fv
 from careweave.functions import text as tx
 from careweave.session import task_slots
 
-MAX_TERMS = 1_000_000
-
 
 def word_counts(df: DataFrame, key: str, text: str) -> DataFrame:
     """(key, term, tf), one row per distinct term of a text."""
@@ -20,20 +18,30 @@ def word_counts(df: DataFrame, key: str, text: str) -> DataFrame:
 
 
 def vocabulary(
-    df: DataFrame, text: str, *, stop_words: Sequence[str] = (), max_features: int = fv.MAX_FEATURES
+    df: DataFrame, text: str, *, stop_words: Sequence[str] = (),
+    max_features: int = fv.MAX_FEATURES, ngrams: int = 1,
 ) -> DataFrame:
     """The ``max_features`` terms with the highest corpus count: (term, df, total).
 
     Each text contributes its words (corpus count) and its distinct words (document count);
     both are summed per term inside the task first, so no (text, term) row is ever shuffled.
+    With ``ngrams=2`` pairs of neighbours among the words that are no stop words count as well.
     """
     def counted(values: Column, total: int, documents: int) -> Column:
         return F.transform(values, lambda w: F.struct(
             w.alias("term"), F.lit(total).alias("total"), F.lit(documents).alias("df")))
 
     both = F.concat(counted(F.col("w"), 1, 0), counted(F.array_distinct("w"), 0, 1))
-    terms = df.select(tx.words(F.col(text)).alias("w")).select(F.inline(both))
-    if stop_words:
+    words = df.select(tx.words(F.col(text)).alias("w"))
+    if ngrams == 2:
+        if stop_words:
+            words = words.select(F.filter("w", lambda w: ~w.isin(list(stop_words))).alias("w"))
+        last = F.greatest(F.size("w") - 1, F.lit(0))
+        words = words.select(F.concat("w", F.zip_with(
+            F.slice("w", 1, last), F.slice("w", 2, last),
+            lambda a, b: F.concat_ws(" ", a, b))).alias("w"))
+    terms = words.select(F.inline(both))
+    if stop_words and ngrams == 1:
         terms = terms.where(~F.col("term").isin(list(stop_words)))
     return (
         terms.groupBy("term")
@@ -62,8 +70,6 @@ def fit_terms(
     max_features: int = fv.MAX_FEATURES,
 ) -> DataFrame:
     """The feature model as a table: (term, term_id, idf); at most ``max_features`` rows."""
-    if max_features > MAX_TERMS:
-        raise ValueError(f"max_features {max_features} exceeds {MAX_TERMS}, the most to broadcast")
     terms = tfidf_terms(corpus, text, stop_words=stop_words, max_features=max_features)
     # At most max_features rows are left here, so one ordered pass numbers them.
     ordered = terms.agg(F.array_sort(F.collect_list(F.struct("term", "idf"))).alias("t"))
@@ -75,10 +81,10 @@ def sparse_vectors(df: DataFrame, key: str, text: str, terms: DataFrame) -> Data
     """(key, term_ids, weights): unit TF-IDF rows sorted by term id; empty where nothing is known.
 
     Texts shuffle once, by key; counting, packing and the final left join all run on that
-    partitioning. ``terms`` has at most ``MAX_TERMS`` rows by construction, hence the broadcast.
+    partitioning when the planner finds ``terms`` small enough to broadcast.
     """
     texts = df.select(key, text).repartition(task_slots(df.sparkSession), key)
-    weighted = word_counts(texts, key, text).join(F.broadcast(terms), "term").select(
+    weighted = word_counts(texts, key, text).join(terms, "term").select(
         key, "term_id", (F.col("tf") * F.col("idf")).alias("w"))
     packed = weighted.groupBy(key).agg(
         F.array_sort(F.collect_list(F.struct("term_id", "w"))).alias("v"))

@@ -4,10 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.ml import Pipeline, PipelineModel
+from pyspark.ml import PipelineModel
 from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.feature import (
-    CountVectorizer, ElementwiseProduct, IDF, IndexToString, NGram, Normalizer, RegexTokenizer,
+    CountVectorizerModel, ElementwiseProduct, IDF, IndexToString, NGram, Normalizer, RegexTokenizer,
     SQLTransformer, StopWordsRemover, StringIndexer,
 )
 from pyspark.ml.functions import array_to_vector, vector_to_array
@@ -20,8 +20,8 @@ from careweave.session import task_slots
 from careweave.operators.classification import (
     argmax_label, class_weights, classification_metrics, majority_label,
 )
+from careweave.operators.features import vocabulary
 
-MAX_CLASSES = 1000
 PREDICTION_COLUMNS = ["predicted_intent", "confidence", "all_intent_probabilities"]
 
 
@@ -66,16 +66,15 @@ def majority_predict(train: DataFrame, df: DataFrame, label: str = "intent") ->
 def _weighted(train: DataFrame, label: str) -> tuple[DataFrame, int]:
     """Training rows with balanced class weights, and their number.
 
-    The classes have to fit a coefficient matrix anyway; their weights become a constant
-    lookup, so a class that holds most rows does not meet in one task.
+    The weights have one row per class; the planner chooses the join by their size.
     """
     train = train.where(F.col(label).isNotNull())
-    weights = class_weights(train, label).limit(MAX_CLASSES + 1).collect()
-    if not weights or len(weights) > MAX_CLASSES:
-        raise ValueError(f"expected 1 to {MAX_CLASSES} classes in {label!r}, found {len(weights)}")
-    known = {r["label"]: r["weight"] for r in weights}
-    weighted = train.withColumn("_weight", tx.mapped(F.col(label), known, None))
-    return weighted, sum(r["n"] for r in weights)
+    n = train.count()
+    if not n:
+        raise ValueError(f"no labelled rows in {label!r}")
+    weights = class_weights(train, label).select(
+        F.col("label").alias(label), F.col("weight").alias("_weight"))
+    return train.join(weights, label), n
 
 
 def _classifier(n: int, max_iter: int) -> LogisticRegression:
@@ -102,18 +101,23 @@ def fit_tfidf(
     max_features: int = fv.MAX_FEATURES, max_iter: int = 1000,
     stop_words: Sequence[str] | None = None,
 ) -> FittedClassifier:
-    """Unigrams and bigrams, smoothed idf, unit rows, balanced logistic regression."""
+    """Unigrams and bigrams, smoothed idf, unit rows, balanced logistic regression.
+
+    Ties at the cut of the vocabulary go by term, so every fit sees the same columns.
+    """
     stop = list(stop_words) if stop_words is not None else (
         StopWordsRemover.loadDefaultStopWords("english"))
     weighted, n = _weighted(train.select(text, label), label)
     weighted = weighted.repartition(task_slots(train.sparkSession))
-    terms = Pipeline(stages=[
+    known = [r["term"] for r in vocabulary(  # at most max_features rows
+        train, text, stop_words=stop, max_features=max_features, ngrams=2).collect()]
+    terms = PipelineModel([
         RegexTokenizer(inputCol=text, outputCol="_tokens", pattern=tx.WORD, gaps=False),
         StopWordsRemover(inputCol="_tokens", outputCol="_words", stopWords=stop),
         NGram(inputCol="_words", outputCol="_bigrams", n=2),
         SQLTransformer(statement="SELECT *, concat(_words, _bigrams) AS _terms FROM __THIS__"),
-        CountVectorizer(inputCol="_terms", outputCol="_tf", vocabSize=max_features),
-    ]).fit(weighted)
+        CountVectorizerModel.from_vocabulary(known, inputCol="_terms", outputCol="_tf"),
+    ])
     counted = terms.transform(weighted).cache()
     try:
         idf = IDF(inputCol="_tf", outputCol="_idf").fit(counted).idf

@@ -202,7 +202,6 @@ def ranked(source: str, k: int) -> str:
 
 
 step("cases", "sims", ranked("(SELECT * FROM sims WHERE NOT own)", fv.TOP_K))
-step("wide_cases", "sims", ranked("sims", c.UNMASKED_K))
 step("attached", "cases", f"""
   SELECT p.*, {label('p.customer_clean_text', tables.LANGUAGE_RULES)} AS predicted_intent,
          {fv.UNTRAINED_CONFIDENCE}::DOUBLE AS confidence, b.support_response AS top_response,
@@ -538,10 +537,7 @@ def oracle_sql() -> dict[str, str]:
             "SELECT doc_id, lang FROM train WHERE k NOT IN (SELECT k FROM golden)", "train golden"),
         "leak_check": full(
             "SELECT doc_id, lang FROM golden WHERE k IN (SELECT k FROM train)", "train golden"),
-        "mask_pairs": full("""
-          SELECT w.query_id, w.case_id, w.similarity_score FROM wide_cases w
-          JOIN sims s ON s.query_id = w.query_id AND s.case_id = w.case_id WHERE NOT own""",
-                           "wide_cases"),
+        "mask_pairs": full("SELECT query_id, case_id, similarity_score FROM cases", "cases"),
         "reply_leakage": full(f"""
           SELECT s.query_id, s.case_id,
                  NOT ({key('a.support_response')} <> '' AND {key('b.support_response')} <> ''
@@ -561,6 +557,15 @@ def oracle_sql() -> dict[str, str]:
                       FROM documents)
                 WHERE NOT {in_list('term', c.STOP_WORDS)} GROUP BY term
                 ORDER BY total DESC, term LIMIT {fv.MAX_FEATURES})""",
+        "ngram_terms": f"""
+          WITH w AS (SELECT doc_id, list_filter(regexp_extract_all(lower(text), '{WORD}'),
+                                                lambda x: NOT {in_list('x', c.STOP_WORDS)}) AS w
+                     FROM documents),
+          t AS (SELECT doc_id, unnest(w) AS term FROM w UNION ALL
+                SELECT doc_id, unnest(list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1]))
+                FROM w)
+          SELECT term, count(DISTINCT doc_id) AS df, count(*) AS total FROM t GROUP BY term
+          ORDER BY total DESC, term LIMIT {fv.MAX_FEATURES}""",
         "build_index": full(f"""
           SELECT pair_id, coalesce(n, 0)::INT AS n_terms, {rnd('coalesce(s, 0)')} AS weight_sum
           FROM pairs LEFT JOIN (SELECT pair_id, count(*) AS n, sum(w) AS s FROM weights GROUP BY 1)

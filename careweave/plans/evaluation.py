@@ -41,9 +41,11 @@ def training_fallback(train: DataFrame, golden: DataFrame) -> DataFrame:
        "customer_clean_text string, support_response string, intent string")
 
 
-def training_rows(pairs: DataFrame, golden: DataFrame) -> DataFrame:
-    """Leak-free, labelled training pairs."""
-    train = training_fallback(exclude_golden(pairs, golden), golden)
+def training_rows(pairs: DataFrame, golden: DataFrame, *, fallback: bool = False) -> DataFrame:
+    """Leak-free, labelled training pairs; with ``fallback`` written ones where they are few."""
+    train = exclude_golden(pairs, golden)
+    if fallback:
+        train = training_fallback(train, golden)
     for column in ("customer_tweet_id", "support_tweet_id"):
         if column not in train.columns:
             train = train.withColumn(column, F.lit(""))
@@ -51,13 +53,18 @@ def training_rows(pairs: DataFrame, golden: DataFrame) -> DataFrame:
 
 
 def evaluate(pairs: DataFrame, golden: DataFrame, *, stop_words: tuple[str, ...] | None = None,
-             max_iter: int = 100) -> Evaluation:
-    """Run every evaluation step; training and retrieval never see a golden text."""
+             max_iter: int = 100, vector: str | None = None, first_n: int | None = None,
+             fallback: bool = False) -> Evaluation:
+    """Run every evaluation step; training and retrieval never see a golden text.
+
+    ``vector`` names an embedding column of both frames and adds the model over it. Agreement
+    covers all rated rows, or the ``first_n`` of them.
+    """
     from pyspark.ml.feature import StopWordsRemover
 
     stop = tuple(stop_words) if stop_words is not None else tuple(
         StopWordsRemover.loadDefaultStopWords("english"))
-    train = materialize(training_rows(pairs, golden))
+    train = materialize(training_rows(pairs, golden, fallback=fallback))
     tfidf = models.fit_tfidf(train, max_iter=max_iter, stop_words=stop)
     labelled = materialize(tfidf.predict(golden).drop("all_intent_probabilities"))
 
@@ -75,10 +82,12 @@ def evaluate(pairs: DataFrame, golden: DataFrame, *, stop_words: tuple[str, ...]
         F.coalesce("human_quality_rating", F.lit(fv.DEFAULT_HUMAN_RATING)).alias("human"),
         F.col("overall_quality_score").alias("judge"))
     failed = failures.failure_cases(predictions)
-    by_model = models.compare_models({
-        "baseline_0_majority": models.majority_predict(train, golden),
-        "baseline_1_tfidf": labelled,
-    })
+    by_name = {"baseline_0_majority": models.majority_predict(train, golden),
+               "baseline_1_tfidf": labelled}
+    if vector is not None:
+        by_name["main_model_embedding"] = models.fit_embedding(
+            train, vector, max_iter=max_iter).predict(golden)
+    by_model = models.compare_models(by_name)
     metrics = union_all([
         long_metrics(by_model, "intent_classification", classification.METRICS, "model"),
         long_metrics(trust.trust_metrics(predictions), "escalation_routing_trust", [
@@ -88,7 +97,7 @@ def evaluate(pairs: DataFrame, golden: DataFrame, *, stop_words: tuple[str, ...]
         long_metrics(systems, "reply_generation_systems", [
             "overall_quality_score", *fv.RUBRIC_SCORES, "secondary_bleu_4", "secondary_rouge_l"],
             "system"),
-        long_metrics(agreement.rater_agreement(rated, first_n=fv.RATED_SAMPLE),
+        long_metrics(agreement.rater_agreement(rated, first_n=first_n),
                      "human_vs_judge_agreement", [*agreement.MEASURES, "sample_size"]),
         long_metrics(failed.agg(F.count("*").alias("total_failures_identified")),
                      "failure_analysis_summary", ["total_failures_identified"]),

@@ -5,7 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from careweave import fixed_values as fv
-from careweave.operators import models
+from careweave.operators import features, models
 from careweave.operators.leakage import leaked_golden
 from careweave.operators.summary import long_metrics
 from careweave.plans import evaluation
@@ -46,6 +46,15 @@ def test_embedding_model(spark):
     assert "features" not in models.fit_embedding(df, max_iter=2).predict(df).columns
 
 
+def test_ngram_vocabulary(spark):
+    df = spark.createDataFrame([("bb aa the bb",), ("aa bb",), ("",), (None,)], "text string")
+    rows = features.vocabulary(df, "text", stop_words=("the",), ngrams=2).collect()
+    assert [(r["term"], r["df"], r["total"]) for r in rows] == [
+        ("bb", 2, 3), ("aa", 2, 2), ("aa bb", 2, 2), ("bb aa", 1, 1)]
+    assert models.fit_tfidf(spark.createDataFrame(TRAIN, "t string, intent string"), "t", max_features=3,
+                            max_iter=2).pipeline.stages[4].vocabulary == ["cancel", "cancel order", "delivery"]
+
+
 def test_rule_prediction(train):
     rows = models.rule_predict(train).collect()
     assert [r["predicted_intent"] for r in rows] == [label for _, label in TRAIN]
@@ -55,9 +64,10 @@ def test_rule_prediction(train):
 def test_training_fallback(spark):
     golden = generators.golden_set(spark, 30)
     few = generators.training_corpus(spark, 3).withColumn("intent", F.lit(None).cast("string"))
-    rows = evaluation.training_rows(few, golden)
+    assert evaluation.training_rows(few, golden).count() == 3
+    rows = evaluation.training_rows(few, golden, fallback=True)
     assert rows.count() == len(fv.INTENTS)  # every written item is golden here
-    other = evaluation.training_rows(few, golden.where("pair_id like 'pair_gold%'"))
+    other = evaluation.training_rows(few, golden.where("pair_id like 'pair_gold%'"), fallback=True)
     assert other.count() == len(fv.GOLDEN_LITERALS)
     assert other.where("intent is null").count() == 0
 
@@ -68,7 +78,11 @@ def evaluated(spark):
         generators.golden_set(spark, 5).select("pair_id", "customer_clean_text", "support_response"),
         allowMissingColumns=True)
     golden = generators.golden_set(spark, 60)
-    return golden, evaluation.evaluate(pairs, golden, max_iter=15)
+    spelled = F.transform(F.sequence(F.lit(97), F.lit(122)), lambda c: F.regexp_count(
+        F.lower("customer_clean_text"), F.char(c)).cast("double"))
+    return golden, evaluation.evaluate(
+        pairs.withColumn("letters", spelled), golden.withColumn("letters", spelled), max_iter=15,
+        vector="letters", first_n=fv.RATED_SAMPLE)
 
 
 def test_evaluation(evaluated):
@@ -84,6 +98,8 @@ def test_evaluation(evaluated):
     assert value["intent_classification", "baseline_1_tfidf", "accuracy"] > 0.6
     assert (value["intent_classification", "baseline_0_majority", "accuracy"]
             < value["intent_classification", "baseline_1_tfidf", "accuracy"])
+    assert (value["intent_classification", "baseline_0_majority", "accuracy"]
+            < value["intent_classification", "main_model_embedding", "accuracy"])
     assert value["human_vs_judge_agreement", "all", "sample_size"] == fv.RATED_SAMPLE
     assert value["failure_analysis_summary", "all", "total_failures_identified"] == result.failures.count()
     systems = {s for c, s, _ in value if c == "reply_generation_systems"}

@@ -138,7 +138,9 @@ def test_prepare_writes_pairs(spark, tmp_path):
         "tweet_id,author_id,in_reply_to_tweet_id,created_at,text,response_tweet_id\n"
         "10,user123,,Wed Oct 11,My package tracking has no update,11\n"
         f"11,{fv.DEFAULT_BRAND},10,Wed Oct 11,Please DM us your order ID!,\n")
-    stats = prepare.run(spark, str(source), str(tmp_path / "pairs")).head()
+    prepare.run(spark, str(source), str(tmp_path / "plain"))
+    assert store.read_pairs(spark, str(tmp_path / "plain")).count() == 1
+    stats = prepare.run(spark, str(source), str(tmp_path / "pairs"), supplement=True).head()
     assert stats["usable_customer_support_pairs"] == 1
     pairs = store.read_pairs(spark, str(tmp_path / "pairs"))
     assert pairs.count() == 1 + fv.SUPPLEMENT_ROWS and pairs.where("pair_id = '10_11'").count() == 1
