@@ -27,8 +27,11 @@ def exact_once(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_once(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of near-duplicates the document with the smallest doc_id."""
-    found = minhash.near_duplicates(docs)
+    """Of documents linked at 0.8 Jaccard or more the one with the smallest doc_id.
+
+    42 bands of 6 minima miss about 3e-6 of the pairs at 0.8, with as many hashes as 36 of 7.
+    """
+    found = minhash.near_duplicates(docs, percent=80, bands=42, rows=6)
     return _kept(docs, found.where(F.col("doc_id").eqNullSafe(F.col("component_id"))))
 
 

@@ -37,3 +37,30 @@ def test_rows_of_trees_equal_single_trees():
                   for _ in range(200)] + [b"a" * (leaves + 1)]
         assert codec.merge_rows(pieces, leaves) == [codec.merge(x) for x in pieces]
     assert codec.encode("") == [] and codec.decode([]) == ""
+
+
+def test_near_stage_equals_brute_force(spark, sf):
+    random.seed(5)
+    texts = []
+    for k in range(30):
+        words = [f"{k}v{random.randrange(10**6)}" for _ in range(250)]
+        texts.append(" ".join(words))
+        for changed in (3, 5, 6, 8):
+            copy = list(words)
+            for i in random.sample(range(250), changed):
+                copy[i] = f"c{random.randrange(10**6)}"
+            texts.append(" ".join(copy))
+    sets = [{tuple(w[i:i + 5]) for i in range(len(w) - 4)} for w in map(str.split, texts)]
+    low = list(range(len(texts)))
+    between = 0
+    for _ in range(5):
+        for i, a in enumerate(sets):
+            for j in range(i // 5 * 5, i):
+                same = len(a & sets[j])
+                if 100 * same >= 80 * (len(a) + len(sets[j]) - same):
+                    between += 100 * same < 85 * (len(a) + len(sets[j]) - same)
+                    low[i] = low[j] = min(low[i], low[j])
+    docs = spark.createDataFrame([(i, t, "en", "s", len(t)) for i, t in enumerate(texts)],
+                                 "doc_id long, text string, lang string, source string, n_chars long")
+    kept = {r.doc_id for r in corpus_pipeline.near_once(spark, docs, sf).collect()}
+    assert between and kept == {i for i, x in enumerate(low) if i == x}
