@@ -62,16 +62,17 @@ def apportion(parts: DataFrame, group: str, key: str, votes: str, seats: str) ->
 
 
 def mix(docs: DataFrame, weights: tuple[int, ...] = (5, 2, 1), cap: float = 3.0,
-        block_words: int = 16, shard_rows: int = 20_000, seed: int = 7) -> DataFrame:
+        block_words: int = 16, shard_rows: int = 20_000, seed: int = 7,
+        carried: tuple[str, ...] = ()) -> DataFrame:
     """doc_id, source, size, source_size, target, taken, first_word of every document.
 
     A shard orders its documents by a seeded hash and cuts their words into equal blocks; its
     quota of blocks is whole passes and one run of blocks from a seeded start, so at most two
     documents of a shard are cut. Null text has size 0 and takes 0; a null source is a source;
     rows with equal or null ids keep their own row; an empty table gives no rows; other columns
-    are ignored. ``first_word`` is where the words of the last pass begin in the document.
+    are ignored, but for ``carried`` ones, which order equal ids. ``first_word`` is where the words of the last pass begin in the document.
     """
-    rows = materialize(docs.select("doc_id", "source", F.coalesce(
+    rows = materialize(docs.select(*carried, "doc_id", "source", F.coalesce(
         F.regexp_count("text", F.lit(WORD)), F.lit(0)).cast("long").alias("size")))
     sources = targets(rows.groupBy("source").agg(
         F.sum("size").alias("source_size"), F.count("*").alias("n_docs")), weights, cap)
@@ -96,7 +97,7 @@ def mix(docs: DataFrame, weights: tuple[int, ...] = (5, 2, 1), cap: float = 3.0,
         "rank", "shard", "shard_size", F.floor(F.col("quota") / n).alias("passes"),
         (F.pmod("quota", n) * block_words).alias("run"),
         (F.pmod(F.xxhash64(F.lit(seed), "rank", "shard"), n) * block_words).alias("start")))
-    upto = Window.partitionBy("rank", "shard").orderBy("at", "doc_id", "size").rowsBetween(
+    upto = Window.partitionBy("rank", "shard").orderBy("at", "doc_id", "size", *carried).rowsBetween(
         Window.unboundedPreceding, 0)
     spots = placed.withColumn("end", F.sum("size").over(upto)).join(shards, ["rank", "shard"])
     begin = F.col("end") - F.col("size")
@@ -105,7 +106,7 @@ def mix(docs: DataFrame, weights: tuple[int, ...] = (5, 2, 1), cap: float = 3.0,
     a = F.greatest(F.least("end", last) - F.greatest(begin, F.col("start")), F.lit(0))
     b = F.greatest(F.least(F.col("end"), over) - begin, F.lit(0))
     return spots.select(
-        "doc_id", "source", "size", "source_size", "target", "passes", (a + b).alias("part"),
+        *carried, "doc_id", "source", "size", "source_size", "target", "passes", (a + b).alias("part"),
         (F.col("passes") * F.col("size") + a + b).cast("long").alias("taken"),
         F.when(b > 0, F.lit(0)).otherwise(F.greatest(F.col("start") - begin, F.lit(0)))
         .cast("long").alias("first_word"))

@@ -94,3 +94,12 @@ def scores(docs: DataFrame, model: Model) -> DataFrame:
                 [model.score(x) for x in batch.column("text").to_pylist()], pa.float64())],
                 names=["doc_id", "score"])
     return docs.select("doc_id", "text").mapInArrow(run, "doc_id long, score double")
+
+
+def keep(docs: DataFrame, model: Model, least: float) -> DataFrame:
+    """The whole rows whose text scores ``least`` or more; ids play no part."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            yield batch.filter(pa.array([model.score(x) >= least for x in
+                                         batch.column("text").to_pylist()], pa.bool_()))
+    return docs.mapInArrow(run, docs.schema)

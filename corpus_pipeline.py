@@ -2,51 +2,77 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from careweave.llm import bpe, exact, minhash, mixture, queries
-from careweave.llm.quality import scores
+from careweave.llm.quality import keep
 from careweave.session import materialize
 
 
-def _kept(docs: DataFrame, decisions: DataFrame) -> DataFrame:
-    ids = decisions.select(F.col("doc_id").alias("_id")).distinct()
-    return docs.join(ids, F.col("doc_id").eqNullSafe(F.col("_id")), "left_semi")
+def _keyed(docs: DataFrame) -> DataFrame:
+    """Every row as ``doc`` under a key of its own, written so that the key stays."""
+    return materialize(docs.select(F.monotonically_increasing_id().alias("row_key"),
+                                   F.struct(*[docs[c] for c in docs.columns]).alias("doc")))
+
+
+def _fields(keyed: DataFrame) -> list[Column]:
+    return [F.col("doc").getField(c).alias(c) for c in keyed.schema["doc"].dataType.names]
+
+
+def _by_key(keyed: DataFrame) -> DataFrame:
+    return keyed.select(F.col("row_key").alias("doc_id"), F.col("doc.text").alias("text"))
+
+
+def _one_each(keyed: DataFrame, groups: DataFrame, best: Column) -> DataFrame:
+    """Of every group the row that ``best``, an aggregate of (id, row_key), names."""
+    ids = keyed.select("row_key", F.col("doc.doc_id").alias("id"))
+    chosen = groups.join(ids, F.col("doc_id") == F.col("row_key")).groupBy("g").agg(
+        best.getField("row_key").alias("row_key"))
+    return keyed.join(chosen, "row_key", "left_semi").select(_fields(keyed))
 
 
 def good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that score 0.5 or more."""
-    model = queries.quality_model(spark, sf_dir)
-    return _kept(docs, scores(docs, model).where("score >= 0.5"))
+    return keep(docs, queries.quality_model(spark, sf_dir), 0.5)
 
 
 def exact_once(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of equal texts the row with the largest doc_id."""
-    groups = exact.exact_groups(docs)
-    return _kept(docs, groups.where(F.col("doc_id").eqNullSafe(F.col("keep_id"))))
+    """Of equal texts one row: one with the largest doc_id; null ids count as the smallest."""
+    keyed = _keyed(docs)
+    groups = exact.exact_groups(_by_key(keyed)).select("doc_id", F.col("keep_id").alias("g"))
+    return _one_each(keyed, groups, F.max(F.struct("id", "row_key")))
 
 
 def near_once(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of documents linked at 0.8 Jaccard or more the one with the smallest doc_id.
+    """Of documents linked at 0.8 Jaccard or more one row: one with the smallest doc_id, null ids
+    last.
 
     42 bands of 6 minima miss about 3e-6 of the pairs at 0.8, with as many hashes as 36 of 7.
     """
-    found = minhash.near_duplicates(docs, percent=80, bands=42, rows=6)
-    return _kept(docs, found.where(F.col("doc_id").eqNullSafe(F.col("component_id"))))
+    keyed = _keyed(docs)
+    found = minhash.near_duplicates(_by_key(keyed), percent=80, bands=42, rows=6)
+    return _one_each(keyed, found.select("doc_id", F.col("component_id").alias("g")), F.min(
+        F.struct(F.col("id").isNull().alias("no_id"), "id", "row_key")))
 
 
 def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Whole copies for whole passes, and the taken words of a document that a run cuts."""
-    plan = materialize(mixture.mix(docs).where("taken > 0").select(
-        F.col("doc_id").alias("_id"), "size", "passes", "part", "first_word"))
-    rows = docs.join(plan, F.col("doc_id").eqNullSafe(F.col("_id")))
-    whole = rows.where("passes > 0").withColumn("_n", F.explode(F.sequence(F.lit(1), "passes")))
-    words = F.regexp_extract_all("text", F.lit(f"({mixture.WORD})"), F.lit(1))
-    cut = rows.where("part > 0").withColumn("text", F.when(
-        F.col("part") == F.col("size"), F.col("text")).otherwise(F.array_join(F.slice(
-            words, F.col("first_word").cast("int") + 1, F.col("part").cast("int")), " ")))
-    cut = cut.withColumn("n_chars", F.length("text").cast("long"))
-    return whole.select(docs.columns).unionByName(cut.select(docs.columns))
+    keyed = _keyed(docs)
+    plan = materialize(mixture.mix(keyed.select(
+        "row_key", *[F.col("doc").getField(c).alias(c) for c in ("doc_id", "source", "text")]),
+        carried=("row_key",)).where("taken > 0").select(
+        "row_key", F.struct("size", "passes", "part", "first_word").alias("plan")))
+    rows = keyed.join(plan, "row_key")
+    whole = rows.where("plan.passes > 0").withColumn(
+        "n", F.explode(F.sequence(F.lit(1), "plan.passes")))
+    words = F.regexp_extract_all("doc.text", F.lit(f"({mixture.WORD})"), F.lit(1))
+    text = F.when(F.col("plan.part") == F.col("plan.size"), F.col("doc.text")).otherwise(
+        F.array_join(F.slice(words, F.col("plan.first_word").cast("int") + 1,
+                             F.col("plan.part").cast("int")), " "))
+    cut = rows.where("plan.part > 0").withColumn("cut", text)
+    changed = {"text": F.col("cut").alias("text"), "n_chars": F.length("cut").cast("long").alias("n_chars")}
+    return whole.select(_fields(keyed)).unionByName(cut.select(
+        [changed.get(name, field) for name, field in zip(docs.columns, _fields(keyed), strict=True)]))
 
 
 def encoded(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -3,7 +3,7 @@
 import random
 
 import corpus_pipeline
-from careweave.llm import bpe
+from careweave.llm import bpe, mixture
 from careweave.session import materialize
 
 
@@ -64,3 +64,25 @@ def test_near_stage_equals_brute_force(spark, sf):
                                  "doc_id long, text string, lang string, source string, n_chars long")
     kept = {r.doc_id for r in corpus_pipeline.near_once(spark, docs, sf).collect()}
     assert between and kept == {i for i, x in enumerate(low) if i == x}
+
+
+def test_stages_on_repeated_rows_null_ids_and_extra_columns(spark, sf):
+    """Columns named like the ones of the plan; equal rows, equal ids and null ids."""
+    a, b = (" ".join(f"{x}{i}" for i in range(300)) for x in "ab")
+    rows = [(1, a), (1, a), (1, a), (None, a), (2, b), (2, b), (None, b), (None, "c d"),
+            (None, "e f"), (7, "g h"), (7, "i j"), (8, None), (None, "")]
+    docs = spark.createDataFrame([(i, t, "en", "s", len(t or ""), k, k, k, k) for k, (i, t) in
+                                  enumerate(rows)], "doc_id long, text string, lang string, source string, "
+                                 "n_chars long, size int, passes int, part int, row_key int")
+    want = sorted([(1, a), (2, b), (None, "c d"), (None, "e f"), (7, "g h"), (7, "i j")], key=str)
+    for stage, empty in ((corpus_pipeline.exact_once, 1), (corpus_pipeline.near_once, 2)):
+        kept = stage(spark, docs, sf)
+        got = sorted(((r.doc_id, r.text) for r in kept.collect()), key=str)
+        assert kept.columns == docs.columns
+        assert [x for x in got if x[1]] == want and len(got) == len(want) + empty
+    plan = mixture.mix(docs.drop("size")).agg({"taken": "sum"}).first()[0]
+    out = corpus_pipeline.mixed(spark, docs, sf)
+    assert out.columns == docs.columns
+    assert sum(len(r.text.split()) for r in out.collect()) == plan
+    kept = corpus_pipeline.good_quality(spark, docs, sf)
+    assert kept.columns == docs.columns and kept.count() <= len(rows)
