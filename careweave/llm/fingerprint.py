@@ -65,7 +65,7 @@ def fingerprints(docs: DataFrame) -> DataFrame:
     ranged = Bucketizer(splits=cuts, inputCol="place", outputCol="part").transform(rows).withColumn(
         "part", F.col("part").cast("int")).drop("place")
     heads = ranged.groupBy("part").agg(F.max("at").alias("first"), F.min(F.struct(
-        (-F.col("at")).alias("k"), "text")).getField("text").alias("t")).orderBy("part")
+        F.bitwise_not("at").alias("k"), "text")).getField("text").alias("t")).orderBy("part")
     firsts = [(r.part, r.first, r.t) for r in heads.collect()]  # one row per range
     spark = docs.sparkSession
     copies = spark.createDataFrame(

@@ -67,6 +67,16 @@ def test_fingerprint_odd_rows(odd):
     assert got.count() == 10 and fingerprint.fingerprints(odd.limit(0)).count() == 0
 
 
+def test_fingerprint_null_ids_come_last(spark):
+    docs = spark.createDataFrame([(2, "a b"), (None, "m n o p q r"), (9, "x y z"), (-4, "k")], DOCS[:24])
+    got = {r.doc_id: r.edited_sha256 for r in fingerprint.fingerprints(docs).collect()}
+    order = [(9, "x y z"), (2, "a b"), (-4, "k"), (None, "m n o p q r"), (9, "x y z")]
+    for (i, x), (_, after) in zip(order, order[1:]):
+        n = len(x) // 3
+        assert got[i] == hashlib.sha256((x[:len(x) - n] + after[:n]).encode()).hexdigest()
+    assert len(got) == 4
+
+
 def test_mixture(odd, spark, sf):
     rows = queries.op6_mixture(spark, sf).collect()
     assert all(r.taken <= 3 * r.size for r in rows)
