@@ -1,4 +1,5 @@
-"""Threshold-scaled sketches: every shingle hash below a fixed share of the hash range."""
+"""Threshold-scaled sketches at the share 1: every shingle hash, so short texts keep theirs and
+likeness is exact. The sketch of a union is the union of sketches."""
 
 from __future__ import annotations
 
@@ -13,39 +14,18 @@ from pyspark.sql import DataFrame, functions as F
 
 from careweave.llm.minhash import Shingles
 
-SCALE, FLOOR = 32, 16
-_LIMIT = 2**64 // SCALE
-
-
-def sketch(hashes: np.ndarray) -> np.ndarray:
-    """Hashes below the share; the ``FLOOR`` smallest where fewer are, so short texts keep all.
-    The sketch of a union is the same rule on the union of sketches."""
-    n = int(np.searchsorted(hashes, np.uint64(_LIMIT)))
-    return hashes[:max(n, FLOOR)]
-
-
-def merge(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    return sketch(np.union1d(a, b))
-
-
-def _bound(s: np.ndarray) -> int:
-    """Sketches hold every hash below this."""
-    if len(s) < FLOOR:
-        return 2**64
-    return _LIMIT if int(s[-1]) < _LIMIT else int(s[-1]) + 1
+FLUSH = 8_000_000
 
 
 def compare(a: np.ndarray, b: np.ndarray) -> tuple[float, float]:
     """Jaccard likeness, and the share of ``a`` that ``b`` contains; no hashes at all: 1."""
-    limit = min(_bound(a), _bound(b))
-    if limit < 2**64:
-        a, b = (x[:int(np.searchsorted(x, np.uint64(limit)))] for x in (a, b))
-    same, whole = len(np.intersect1d(a, b, assume_unique=True)), len(np.union1d(a, b))
+    same = len(np.intersect1d(a, b, assume_unique=True))
+    whole = len(a) + len(b) - same
     return same / whole if whole else 1.0, same / len(a) if len(a) else 1.0
 
 
 def text_of(s: np.ndarray) -> str:
-    return ",".join(f"{int(x):016x}" for x in s)
+    return s.astype(">u8").tobytes().hex(",", -8)
 
 
 def fingerprints(docs: DataFrame) -> DataFrame:
@@ -75,23 +55,29 @@ def fingerprints(docs: DataFrame) -> DataFrame:
         parts, "part").sortWithinPartitions("part", "copied", F.desc("at"), "text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        shingles, held = Shingles(), None
+        def flushed() -> pa.RecordBatch:
+            return pa.RecordBatch.from_pylist([dict(zip(schema.names, r, strict=True)) for r in out],
+                                              schema=schema)
+
+        shingles, held, out, size = Shingles(), None, [], 0
         for batch in batches:
-            out = []
             for doc_id, text, part, copied in zip(*(batch.column(c).to_pylist() for c in (
                     "doc_id", "text", "part", "copied")), strict=True):
-                own = sketch(shingles.of(text))
+                own = shingles.of(text)
                 if held is not None and held[2] == part:
                     n = len(held[1])
                     third = n // 3
                     edited = held[1][:n - third] + text[:third]
-                    cut = sketch(shingles.of(edited))
+                    cut = shingles.of(edited)
                     (a, b), (c, d) = compare(held[3], cut), compare(held[3], own)
                     out.append((held[0], n, hashlib.sha256(edited.encode()).hexdigest(),
                                 text_of(held[3]), text_of(cut), a, c, b, d))
+                    size += len(out[-1][3]) + len(out[-1][4])
+                    if size > FLUSH:  # fingerprints are longer than their texts
+                        yield flushed()
+                        out, size = [], 0
                 held = None if copied else (doc_id, text, part, own)
-            yield pa.RecordBatch.from_pylist([dict(zip(schema.names, r, strict=True)) for r in out],
-                                             schema=schema)
+        yield flushed()
 
     schema = pa.schema([("doc_id", pa.int64()), ("n_chars", pa.int64()), ("edited_sha256", pa.string()),
                         ("fingerprint", pa.string()), ("edited_fingerprint", pa.string()),

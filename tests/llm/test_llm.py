@@ -77,6 +77,25 @@ def test_fingerprint_null_ids_come_last(spark):
     assert len(got) == 4
 
 
+def test_fingerprint_likeness_is_exact(spark):
+    def words(n, changed=0):
+        return [f"w{i}" for i in range(n - changed)] + [f"x{i}" for i in range(changed)]
+
+    texts = [" ".join(x) for x in (words(54), words(54, 1), words(400), words(400, 3), words(60, 30),
+                                   words(20_000), words(30), words(3))]
+    docs = spark.createDataFrame([(-i, t) for i, t in enumerate(texts)], DOCS[:24])
+    sets = lambda x: {tuple(w[i:i + 5]) for w in [x.split()] for i in range(max(1, len(w) - 4))}
+    got = {-r.doc_id: r for r in fingerprint.fingerprints(docs).collect()}
+    for k, x in enumerate(texts):
+        after, n = texts[(k + 1) % len(texts)], len(x) // 3
+        for other, near, held in ((after, "near_next", "held_by_next"),
+                                  (x[:len(x) - n] + after[:n], "near_edited", "held_by_edited")):
+            a, b = sets(x), sets(other)
+            assert got[k][near] == pytest.approx(len(a & b) / len(a | b), abs=1e-9)
+            assert got[k][held] == pytest.approx(len(a & b) / len(a), abs=1e-9)
+    assert len({r.fingerprint for r in got.values()}) == len(texts)
+
+
 def test_mixture(odd, spark, sf):
     rows = queries.op6_mixture(spark, sf).collect()
     assert all(r.taken <= 3 * r.size for r in rows)
