@@ -142,3 +142,50 @@ def test_held_out(spark, name, label):
         spark.read.parquet(f"{folder}/labels.parquet"), "doc_id")
     rows = got.collect()
     assert sum(r.predicted == r[label] for r in rows) > 0.95 * len(rows)
+
+
+def _whole_alignment(template, words):
+    """Longest common subsequence without a band."""
+    row = [0] * (len(words) + 1)
+    for t in template:
+        new = [0]
+        for j, w in enumerate(words):
+            new.append(max(row[j] + 1 if w == t else 0, row[j + 1], new[j]))
+        row = new
+    return row[-1]
+
+
+def test_license_cut_and_variant_notices(spark):
+    clean = lambda x: [w.strip(".,;:!?()[]\"'") for w in x.lower().split()]
+    gpl = license.TEMPLATES["gpl-3.0"]
+    variants = [
+        ("Licensed under CC BY-SA 4.0.", ["cc-by-sa-4.0"]), ("Licensed under CC BY 4.0.", []),
+        ("Licensed under CC BY-NC-SA 4.0.", []), ("Licensed under CC BY-NC 3.0.", []),
+        ("Licensed under CC BY-NC 4.0", ["cc-by-nc-4.0"]), (gpl.replace("3.", "2."), []),
+        (gpl.replace("3.", "3.0 or later"), ["gpl-3.0"]), (gpl.replace("General", "Lesser General"), []),
+        (gpl.replace("General", "(Affero) General"), []), ("Released under the BSD License.", []),
+        ("Licensed under the Apache License, Version 1.1.", []),
+        ("under the Apache License, Version 2.0.", ["apache-2.0"]),
+        ("So: Licensed under the Apache License, Version 2.0. Licensed under the Apache License, "
+         "Version 2.0.", ["apache-2.0", "apache-2.0"])]
+    cuts = []  # whole words cut from either end, with and without text on the other side
+    for name, x in license.TEMPLATES.items():
+        w = x.split()
+        for k in range(1, len(w) // 2):
+            cuts += [(name, " ".join(w[k:]) + tail) for tail in ("", " and more text here to read")]
+            cuts += [(name, head + " ".join(w[:-k])) for head in ("", "we say that it is ")]
+    docs = spark.createDataFrame(list(enumerate([x for x, _ in variants] + [x for _, x in cuts])), DOCS[:24])
+    found = {}
+    for r in license.scan(docs).collect():
+        found.setdefault(r.doc_id, []).append((r.template, r.coverage))
+    for k, (x, want) in enumerate(variants):
+        assert [t for t, _ in found.get(k, [])] == want, x
+    reported = 0
+    for k, (name, x) in enumerate(cuts, len(variants)):
+        body = clean(license.TEMPLATES[name])
+        share = _whole_alignment(body, clean(x)) / len(body)
+        unknown = name in license.MARKS and name != "mit" and body[-1] not in clean(x)  # no version
+        got = [c for t, c in found.get(k, []) if t == name]
+        assert got == ([] if share < 0.8 or unknown else [share]), x
+        reported += len(got)
+    assert reported > 10
