@@ -6,10 +6,13 @@ import math
 from collections.abc import Iterator
 
 import pyarrow as pa
+import xxhash
 import zstandard
 from pyspark.sql import DataFrame, functions as F
 
-PIECE = 4096
+from careweave.session import materialize
+
+PIECE, SNIPPET = 4096, 128
 
 
 class Model:
@@ -44,26 +47,52 @@ def fit(docs: DataFrame, labels: DataFrame, rows_per_class: int = 1500,
         dictionary_bytes: int = 110_000) -> Model:
     """A model from at most ``rows_per_class`` rows of each label, chosen by hash of the id.
 
-    Rows with null text, id or label are left out. One half of the rows fills the dictionaries
-    with their first pieces, the other half fits the line, each class weighing the same.
+    Rows with null text, id or label are left out. One half of the rows fills the dictionaries with
+    distinct snippets from all positions of whole texts, the other half fits the line on whole
+    texts, each class weighing the same. The driver gets numbers and the chosen snippets only.
     """
-    def sample(y: int) -> list[str]:
-        ids = labels.where(F.col("quality") == y).select("doc_id").distinct().orderBy(
-            F.xxhash64("doc_id"), "doc_id").limit(rows_per_class)
-        found = docs.select("doc_id", F.expr(f"substring(text, 1, {PIECE})").alias("text")).join(
-            F.broadcast(ids), "doc_id").where("text is not null")  # bounded by rows_per_class
-        return [x.text for x in found.orderBy(F.xxhash64("doc_id"), "doc_id", "text")
-                .limit(rows_per_class).collect()]
-
-    picked = {y: sample(y) for y in (1, 0)}
-
-    def dictionary(texts: list[str]) -> bytes:
-        half = texts[::2]
-        share = max(64, dictionary_bytes // max(1, len(half)))
-        return "".join(x[:share] for x in half).encode()[:dictionary_bytes] or b"\n" * 8
-
-    model = Model(dictionary(picked[1]), dictionary(picked[0]), (0.0, 0.0, 0.0))
-    points = [(model.features(x), y) for y in (1, 0) for x in picked[y][1::2]]
+    ids = [labels.where(F.col("quality") == y).select("doc_id", F.lit(y).alias("y")).distinct().orderBy(
+        F.xxhash64("doc_id"), "doc_id").limit(rows_per_class) for y in (1, 0)]
+    found = materialize(docs.select("doc_id", "text").join(  # bounded by rows_per_class
+        F.broadcast(ids[0].unionByName(ids[1])), "doc_id").where("text is not null").withColumn(
+        "row", F.monotonically_increasing_id()))
+    narrow = found.select("y", "row", "doc_id", F.xxhash64("text").alias("h"))
+    rows = {y: [r.row for r in narrow.where(F.col("y") == y).orderBy(
+        F.xxhash64("doc_id"), "doc_id", "h", "row").limit(rows_per_class).collect()] for y in (1, 0)}
+
+    def half(y: int, first: int) -> DataFrame:
+        chosen = docs.sparkSession.createDataFrame([(r,) for r in rows[y][first::2]], "row long")
+        return found.where(F.col("y") == y).join(F.broadcast(chosen), "row")
+
+    def snippets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for doc_id, text in zip(batch.column("doc_id").to_pylist(),
+                                    batch.column("text").to_pylist(), strict=True):
+                # Round n holds the n-th snippet by hash of its place, of every text.
+                order = sorted((xxhash.xxh3_64_intdigest(f"{doc_id} {i}") >> 1, i)
+                               for i in range(0, len(text), SNIPPET))
+                yield pa.RecordBatch.from_arrays([
+                    pa.array(range(len(order)), pa.int64()), pa.array([h for h, _ in order], pa.int64()),
+                    pa.array([text[i:i + SNIPPET] for _, i in order], pa.string())],
+                    names=["round", "h", "snippet"])
+
+    def dictionary(y: int) -> bytes:
+        cut = half(y, 0).select("doc_id", "text").mapInArrow(
+            snippets, "round long, h long, snippet string")
+        first = cut.groupBy("snippet").agg(F.min(F.struct("round", "h")).alias("at"))
+        picked = first.orderBy("at", "snippet").limit(dictionary_bytes // SNIPPET * 2).collect()
+        return "".join(r.snippet for r in picked).encode()[:dictionary_bytes] or b"\n" * 8
+
+    model = Model(dictionary(1), dictionary(0), (0.0, 0.0, 0.0))
+
+    def features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            pairs = [model.features(x) for x in batch.column("text").to_pylist()]
+            yield pa.RecordBatch.from_arrays([pa.array([p[k] for p in pairs], pa.float64())
+                                              for k in (0, 1)], names=["d", "r"])
+
+    points = [((r.d, r.r), y) for y in (1, 0) for r in half(y, 1).select("text").mapInArrow(
+        features, "d double, r double").orderBy("d", "r").collect()]
     model.line = _logistic(points)
     return model
 

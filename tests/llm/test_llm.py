@@ -5,7 +5,7 @@ import hashlib
 import duckdb
 import pytest
 
-from careweave.llm import chat, exact, fingerprint, license, minhash, mixture, queries, url_filter
+from careweave.llm import chat, exact, fingerprint, license, minhash, mixture, quality, queries, url_filter
 
 DOCS = "doc_id long, text string, lang string, source string, n_chars long"
 LONG = " ".join(f"w{i}" for i in range(30_000))
@@ -189,3 +189,20 @@ def test_license_cut_and_variant_notices(spark):
         assert got == ([] if share < 0.8 or unknown else [share]), x
         reported += len(got)
     assert reported > 10
+
+
+def test_quality_fit_reads_whole_texts(spark):
+    """One head for all; what tells the classes apart comes after 5,000 characters."""
+    import random
+
+    random.seed(9)
+    good, bad = ([" ".join(random.choices("abcdefghijklmnopqrstuvwxyz"[k::2], k=4)).replace(" ", "")
+                  for _ in range(60)] for k in (0, 1))
+    head = " ".join(f"licence{i}" for i in range(500))
+    rows = [(i, head + " " + " ".join(random.choices((bad, good)[i % 2], k=1500))) for i in range(80)]
+    docs = spark.createDataFrame(rows, DOCS[:24])
+    labels = spark.createDataFrame([(i, i % 2) for i in range(60)], "doc_id long, quality int")
+    model = quality.fit(docs, labels)
+    assert model.good.count(b"licence0 ") <= 1 and len(model.good) > 50_000
+    got = {r.doc_id: r.score for r in quality.scores(docs, model).collect()}
+    assert all((got[i] >= 0.5) == (i % 2 == 1) for i in range(60, 80))
