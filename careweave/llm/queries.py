@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from careweave.llm import (
-    bpe, chat, exact, fingerprint, license, minhash, mixture, quality, toxicity, url_filter,
+    audit, bpe, chat, exact, fingerprint, license, minhash, mixture, quality, toxicity, url_filter,
 )
 
 _LOWER = "translate(coalesce(text,''),'ABCDEFGHIJKLMNOPQRSTUVWXYZ','abcdefghijklmnopqrstuvwxyz')"
@@ -87,15 +87,51 @@ def op10_license(spark, folder):
     return license.scan(_read(spark, folder, "documents"))
 
 
+def op13_filter_audit(spark, folder):
+    return audit.audit(_read(spark, folder, "documents"), _read(spark, folder, "labels"))
+
+
 def queries():
-    return {"op3_fingerprint": op3_fingerprint, "op10_license": op10_license,
+    return {"op13_filter_audit": op13_filter_audit,
+            "op3_fingerprint": op3_fingerprint, "op10_license": op10_license,
             "op5_toxicity": op5_toxicity, "op7_chat": op7_chat,
             "op9_url_filter": op9_url_filter, "op1_minhash": op1_minhash, "op2_bpe": op2_bpe, "op4_quality": op4_quality, "op6_mixture": op6_mixture,
             "op8_exact_dedup": op8_exact_dedup}
 
 
+_AUDIT_SQL = r"""with d as (select doc_id, coalesce(source,'') as part, coalesce(text,'') as x,
+ regexp_extract_all(coalesce(text,''), '[^\x20\x09-\x0D]+') as w from documents),
+l as (select doc_id, max(quality) = 1 as good, max(toxic) = 1 as toxic from labels group by doc_id),
+f as (select part, coalesce(good, false) as good, coalesce(toxic, false) as toxic,
+ (len(w) < 200)::int + 2 * (100 * len(list_distinct(w)) < 50 * len(w))::int
+ + 4 * (100 * length(regexp_replace(x, '[^A-Z]', '', 'g')) > 2 * length(x))::int
+ + 8 * regexp_matches(x, '[#$%&*|]')::int + 16 * (doc_id > min(doc_id) over (partition by x))::int as fails
+ from d left join l using (doc_id)),
+k as (select i, substr('ABCDE', i + 1, 1) as c, (1 << i)::int as b from range(5) r(i)),
+o as (select a.c||b.c||c.c||d.c||e.c as filter_order, [a.b, b.b, c.b, d.b, e.b] as bits
+ from k a, k b, k c, k d, k e where a.b | b.b | c.b | d.b | e.b = 31),
+s as (select filter_order, step, bits[step] as bit, list_sum(bits[1:step-1])::int as before
+ from o, range(1, 6) r(step)),
+n as (select part, fails, count(*) as n, count(*) filter (good) as g, count(*) filter (toxic) as t
+ from f group by part, fails),
+c as (select part, filter_order, step, bit,
+ sum(n) filter (fails & (coalesce(before, 0) | bit) = 0) as kept,
+ sum(n) filter (fails & coalesce(before, 0) = 0 and fails & bit > 0) as removed,
+ sum(n) filter (fails & coalesce(before, 0) > 0 and fails & bit > 0) as redundant,
+ sum(n) filter (fails = bit) as unique_fails,
+ sum(g) filter (fails & coalesce(before, 0) = 0 and fails & bit > 0) as good_lost,
+ sum(t) filter (fails & coalesce(before, 0) = 0 and fails & bit > 0) as toxic_lost
+ from n, s group by all)
+select part, filter_order, step::int as step, coalesce(kept, 0)::bigint as kept,
+ coalesce(removed, 0)::bigint as removed, coalesce(redundant, 0)::bigint as redundant,
+ coalesce(unique_fails, 0)::bigint as unique_fails, coalesce(good_lost, 0)::bigint as good_lost,
+ coalesce(toxic_lost, 0)::bigint as toxic_lost,
+ coalesce(sum(removed) over (partition by part, bit), 0)::bigint as shapley from c"""
+
+
 def oracle_sql():
-    return {"op7_chat": r"""with c as (select conv_id, turn, coalesce(role,'') r, coalesce(text,'') t
+    return {"op13_filter_audit": _AUDIT_SQL,
+        "op7_chat": r"""with c as (select conv_id, turn, coalesce(role,'') r, coalesce(text,'') t
  from conversations union all select -7, 0, 'user', '\### Assistant: </turn> ok'
  union all select -7, 1, 'assistant', '\### Assistant: </turn> ok')
 select conv_id, count(*) n_turns, sha256(string_agg(r||chr(10)||t||chr(10), '' order by turn, r, t)) turns_sha256,
