@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from careweave.llm import (
-    audit, bpe, chat, exact, fingerprint, license, minhash, mixture, quality, toxicity, url_filter,
+    audit, bpe, chat, exact, fingerprint, license, minhash, mixture, quality, search,
+    toxicity, url_filter, warc,
 )
 
 _LOWER = "translate(coalesce(text,''),'ABCDEFGHIJKLMNOPQRSTUVWXYZ','abcdefghijklmnopqrstuvwxyz')"
@@ -91,8 +92,16 @@ def op13_filter_audit(spark, folder):
     return audit.audit(_read(spark, folder, "documents"), _read(spark, folder, "labels"))
 
 
+def op11_lexical_search(spark, folder):
+    return search.search(_read(spark, folder, "documents"), _read(spark, folder, "benchmark"))
+
+
+def op12_warc(spark, folder):
+    return warc.archive(_read(spark, folder, "pages")).drop("url")
+
+
 def queries():
-    return {"op13_filter_audit": op13_filter_audit,
+    return {"op12_warc": op12_warc, "op11_lexical_search": op11_lexical_search, "op13_filter_audit": op13_filter_audit,
             "op3_fingerprint": op3_fingerprint, "op10_license": op10_license,
             "op5_toxicity": op5_toxicity, "op7_chat": op7_chat,
             "op9_url_filter": op9_url_filter, "op1_minhash": op1_minhash, "op2_bpe": op2_bpe, "op4_quality": op4_quality, "op6_mixture": op6_mixture,
@@ -129,8 +138,35 @@ select part, filter_order, step::int as step, coalesce(kept, 0)::bigint as kept,
  coalesce(sum(removed) over (partition by part, bit), 0)::bigint as shapley from c"""
 
 
+_SEARCH_SQL = r"""with p as (select '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+' as term),
+t as (select doc_id, unnest(regexp_extract_all(LOWER, (select term from p))) as term from documents),
+n as (select doc_id, count(*)::bigint as n from t group by doc_id),
+s as (select count(*)::bigint as docs, sum(n)::bigint as terms from n),
+q as (select distinct item_id, unnest(regexp_extract_all(LOWER, (select term from p))) as term from benchmark),
+f as (select doc_id, term, count(*)::bigint as tf from t
+ where term in (select term from q) group by doc_id, term),
+w as (select term, floor(1000 * ln((2.0 * docs + 2) / (2 * count(*) + 1)))::bigint as w from f, s group by term, docs),
+c as (select item_id, doc_id, sum(w * ((1000000000 * tf) // (1000 * tf + 20 * (100 - 50 + (50 * n * docs) // terms))))::bigint as score
+ from q join w using (term) join f using (term) join n using (doc_id), s group by item_id, doc_id),
+r as (select item_id, (row_number() over (partition by item_id order by score desc, doc_id))::int as rank, doc_id, score
+ from c where score > 0)
+select * from r where rank <= 50""".replace("LOWER", _LOWER)
+
+
+_WARC_SQL = """with p as (select page_id, coalesce(html, '') as x from pages),
+h as (select *, sha1(x) as hex, min(page_id) over (partition by x) as first from p),
+b as (select *, list_transform(range(0, 40, 5), lambda i: ('0x' || substr(hex, i::int + 1, 5))::bigint) as parts from h)
+select page_id, strlen(x)::bigint as payload_bytes,
+ list_aggregate(list_transform(parts, lambda v: list_aggregate(list_transform([15, 10, 5, 0],
+  lambda k: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', ((v >> k) & 31)::int + 1, 1)), 'string_agg', '')), 'string_agg', '') as payload_digest,
+ case when page_id = first then 'response' else 'revisit' end as record_type,
+ case when page_id <> first then first end as refers_to from b"""
+
+
 def oracle_sql():
-    return {"op13_filter_audit": _AUDIT_SQL,
+    return {"op12_warc": _WARC_SQL,
+        "op11_lexical_search": _SEARCH_SQL,
+        "op13_filter_audit": _AUDIT_SQL,
         "op7_chat": r"""with c as (select conv_id, turn, coalesce(role,'') r, coalesce(text,'') t
  from conversations union all select -7, 0, 'user', '\### Assistant: </turn> ok'
  union all select -7, 1, 'assistant', '\### Assistant: </turn> ok')
