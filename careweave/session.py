@@ -4,9 +4,13 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterable, Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
+_RECORDERS: list[list[str]] = []
+
 
 def build_session(app_name: str = "careweave", **settings: str) -> SparkSession:
     """A session with adaptive execution and skew splitting on; other settings are the caller's."""
@@ -15,6 +19,9 @@ def build_session(app_name: str = "careweave", **settings: str) -> SparkSession:
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.sql.session.timeZone", "UTC")
+        # A table bucketed by slice serves joins by (slice, part) where it lies.
+        .config("spark.sql.requireAllClusterKeysForCoPartition", "false")
+        .config("spark.sql.sources.bucketing.autoBucketedScan.enabled", "false")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
         # Recording a Python stack for every column expression costs more than building it.
         .config("spark.python.sql.dataFrameDebugging.enabled", "false")
@@ -46,9 +53,30 @@ def materialize(df: DataFrame) -> DataFrame:
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/tables/{uuid.uuid4().hex}"
     df.write.parquet(path)
+    for paths in _RECORDERS:
+        paths.append(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+@contextmanager
+def recorded_tables() -> Iterator[list[str]]:
+    """The paths of the tables that ``materialize`` writes meanwhile, for ``discard`` later on."""
+    paths: list[str] = []
+    _RECORDERS.append(paths)
+    try:
+        yield paths
+    finally:
+        _RECORDERS.remove(paths)
+
+
+def discard(spark: SparkSession, paths: Iterable[str]) -> None:
+    """Delete tables that ``materialize`` wrote; no frame that is still read may depend on them."""
+    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
+    for path in paths:
+        place = jvm.org.apache.hadoop.fs.Path(path)
+        place.getFileSystem(conf).delete(place, True)
+
+
 def task_slots(spark: SparkSession) -> int:
     """How many tasks to spread CPU-heavy work over."""
     return max(
