@@ -1,5 +1,7 @@
 """Dense vector expressions on ``array<double>`` columns."""
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, functions as F
 
 from careweave import fixed_values as fv
@@ -21,16 +23,20 @@ def argmax(vector: Column) -> Column:
     return (F.array_position(vector, F.array_max(vector)) - 1).cast("int")
 
 
+def hyperplanes(count: int, dim: int, seed: int) -> np.ndarray:
+    """``count`` fixed directions, by a formula of whole numbers that any SQL engine can follow."""
+    n = np.arange(count * dim, dtype=np.int64) + seed * 1_000_003
+    x = (n + 1) * 48271 % (2**31 - 1)
+    return ((x * x + 12345 * n) % (2**31 - 1) / (2**31 - 1) - 0.5).reshape(count, dim)
+
+
 def hyperplane_codes(vector: Column, dim: int, tables: int, bits: int, seed: int) -> Column:
-    """One code per table: which side of ``bits`` random hyperplanes the vector is on.
+    """One code per table: which side of ``bits`` hyperplanes the vector is on.
 
     Codes of different tables never coincide, so they can share one key column. The Arrow
     function is nested so that it ships by value.
     """
-    import numpy as np
-    import pandas as pd
-
-    planes = np.random.default_rng(seed).standard_normal((tables * bits, dim))
+    planes = hyperplanes(tables * bits, dim, seed)
 
     @F.pandas_udf("array<int>")
     def codes(vectors: pd.Series) -> pd.Series:

@@ -7,7 +7,6 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from careweave.functions.numbers import rating_bin, ratio, round_columns
 from careweave.session import materialize
 
-_RANK_BUCKETS = 256
 MEASURES = [
     "spearman_correlation", "weighted_cohens_kappa", "exact_agreement",
     "agreement_within_1_point", "pearson_correlation", "mean_absolute_error",
@@ -17,25 +16,18 @@ MEASURES = [
 def average_ranks(histogram: DataFrame) -> DataFrame:
     """(side, v, rank): average rank of each distinct value within its side, from (side, v, n).
 
-    No window runs over all values of a side: a hash sample of about 256 values cuts them into
-    ranges, the range totals (a few hundred rows per side) are summed up in order, and ranks
-    inside a range come from a window per range.
+    Values are dealt out by ranges, whose number follows the data; the ranges are written with
+    their number, so that totals and rows mean the same ones. A range's ranks begin behind the
+    totals of the ranges before it (one row per range and side), and inside a range they come
+    from a window over that range alone.
     """
-    sizes = histogram.groupBy("side").agg(F.count("*").alias("c"))
-    thin = F.greatest(F.lit(1), F.floor(F.col("c") / _RANK_BUCKETS))
-    cuts = histogram.join(F.broadcast(sizes), "side").where(
-        F.pmod(F.xxhash64("v"), thin) == 0).groupBy("side").agg(
-        F.sort_array(F.collect_list("v")).alias("cuts"))
-    none = F.array().cast("array<double>")
-    ranged = histogram.join(F.broadcast(cuts), "side", "left").select(
-        "side", "v", "n",
-        F.size(F.filter(F.coalesce("cuts", none), lambda c: c < F.col("v"))).alias("bucket"))
-    before = Window.partitionBy("side").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
-    starts = ranged.groupBy("side", "bucket").agg(F.sum("n").alias("t")).select(
-        "side", "bucket", F.coalesce(F.sum("t").over(before), F.lit(0)).alias("start"))
-    inside = Window.partitionBy("side", "bucket").orderBy("v").rowsBetween(
-        Window.unboundedPreceding, -1)
-    return ranged.join(F.broadcast(starts), ["side", "bucket"]).select(
+    ranged = materialize(histogram.repartitionByRange("side", "v").withColumn(
+        "range", F.spark_partition_id()))
+    before = Window.partitionBy("side").orderBy("range").rowsBetween(Window.unboundedPreceding, -1)
+    starts = ranged.groupBy("side", "range").agg(F.sum("n").alias("t")).select(
+        "side", "range", F.coalesce(F.sum("t").over(before), F.lit(0)).alias("start"))
+    inside = Window.partitionBy("side", "range").orderBy("v").rowsBetween(Window.unboundedPreceding, -1)
+    return ranged.join(starts, ["side", "range"]).select(
         "side", "v",
         (F.col("start") + F.coalesce(F.sum("n").over(inside), F.lit(0)) + (F.col("n") + 1) / 2.0)
         .alias("rank"))
@@ -70,7 +62,7 @@ def rater_agreement(
     sides = F.array(F.struct(F.lit("h").alias("side"), F.col("h").alias("v"), "n"),
                     F.struct(F.lit("j").alias("side"), F.col("j").alias("v"), "n"))
     histogram = cells.select(F.inline(sides)).groupBy("side", "v").agg(F.sum("n").alias("n"))
-    ranks = materialize(average_ranks(histogram))
+    ranks = average_ranks(histogram)
 
     def ranks_of(side: str) -> DataFrame:
         return ranks.where(F.col("side") == side).select(

@@ -75,3 +75,8 @@ def failure_counts(failures: DataFrame) -> DataFrame:
 
 def case_by_id(failures: DataFrame, pair_id: str) -> DataFrame:
     return failures.where(F.col("pair_id") == pair_id)
+
+
+def cases_by_id(failures: DataFrame, ids: DataFrame) -> DataFrame:
+    """The cases of many ids at once (column ``pair_id``, each once)."""
+    return failures.join(ids, "pair_id", "left_semi")

@@ -11,12 +11,17 @@ from careweave.operators.skew import HOT_ROWS, salted_join, split_join
 _KEY = "_text_key"
 
 
+def _digest(column: str) -> Column:
+    """32 bytes that stand for a text key in a shuffle; null where the text is."""
+    return F.unhex(F.sha2(tx.text_key(F.col(column)), 256))
+
+
 def _keyed(df: DataFrame, column: str) -> DataFrame:
-    return df.withColumn(_KEY, tx.text_key(F.col(column)))
+    return df.withColumn(_KEY, _digest(column))
 
 
 def _keys(df: DataFrame, column: str) -> DataFrame:
-    return df.select(tx.text_key(F.col(column)).alias(_KEY)).distinct()
+    return df.select(_digest(column).alias(_KEY)).distinct()
 
 
 def exclude_golden(

@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.ml import PipelineModel
+from pyspark import keyword_only
+from pyspark.ml import PipelineModel, Transformer
 from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.feature import (
     CountVectorizerModel, ElementwiseProduct, IDF, IndexToString, NGram, Normalizer, RegexTokenizer,
@@ -12,6 +13,8 @@ from pyspark.ml.feature import (
 )
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.linalg import Vectors
+from pyspark.ml.param.shared import HasInputCol, HasOutputCol
+from pyspark.ml.util import DefaultParamsReadable, DefaultParamsWritable
 from pyspark.sql import DataFrame, functions as F
 
 from careweave import fixed_values as fv
@@ -23,6 +26,22 @@ from careweave.operators.classification import (
 from careweave.operators.features import vocabulary
 
 PREDICTION_COLUMNS = ["predicted_intent", "confidence", "all_intent_probabilities"]
+# Columns of a fitted pipeline; a caller's columns of other names pass through untouched.
+_FEATURES, _RAW, _PROBABILITY, _PREDICTION = "_features", "_raw_scores", "_probabilities", "_prediction"
+
+
+class VectorColumn(Transformer, HasInputCol, HasOutputCol, DefaultParamsReadable, DefaultParamsWritable):
+    """A column of numbers in arrays as an ML vector; a stage that saves and loads with a pipeline."""
+
+    @keyword_only
+    def __init__(self, *, inputCol: str = "embedding", outputCol: str = _FEATURES):
+        super().__init__()
+        self._set(**self._input_kwargs)
+        self._setDefault(inputCol="embedding", outputCol=_FEATURES)
+
+    def _transform(self, df: DataFrame) -> DataFrame:
+        return df.withColumn(self.getOutputCol(), array_to_vector(
+            F.col(self.getInputCol()).cast("array<double>")))
 
 
 class FittedClassifier:
@@ -34,7 +53,7 @@ class FittedClassifier:
     def predict(self, df: DataFrame) -> DataFrame:
         scored = self.pipeline.transform(df)
         label, confidence, all_probabilities = argmax_label(
-            vector_to_array("probability"), self.labels)
+            vector_to_array(_PROBABILITY), self.labels)
         return scored.select(
             *df.columns, label.alias("predicted_intent"), confidence.alias("confidence"),
             all_probabilities.alias("all_intent_probabilities"))
@@ -49,18 +68,19 @@ class FittedClassifier:
         return cls(pipeline, indexer.getLabels())
 
 
-def majority_predict(train: DataFrame, df: DataFrame, label: str = "intent") -> DataFrame:
-    """Every row gets the most frequent training label with probability 1."""
-    top = majority_label(train, label).select("label").scalar()
-    names = train.select(F.col(label).alias("l")).distinct().agg(
-        F.sort_array(F.collect_list("l")).alias("names")).scalar()
-    return df.withColumns({
-        "predicted_intent": F.coalesce(top, F.lit(fv.GENERAL_INTENT)), "_names": names,
-    }).withColumns({
-        "confidence": F.lit(1.0),
-        "all_intent_probabilities": F.map_from_arrays("_names", F.transform(
-            "_names", lambda x: F.when(x == F.col("predicted_intent"), 1.0).otherwise(0.0))),
-    }).drop("_names")
+def majority_predict(train: DataFrame, df: DataFrame, label: str = "intent", *,
+                     probabilities: bool = False) -> DataFrame:
+    """Every row gets the most frequent training label with confidence 1.
+
+    With ``probabilities`` also the map of all labels, which is as long as the label table.
+    """
+    top = F.coalesce(majority_label(train, label).select("label").scalar(), F.lit(fv.GENERAL_INTENT))
+    out = df.withColumns({"predicted_intent": top, "confidence": F.lit(1.0)})
+    if not probabilities:
+        return out
+    shares = train.where(F.col(label).isNotNull()).select(F.col(label).alias("l")).distinct().agg(F.map_from_entries(
+        F.sort_array(F.collect_list(F.struct("l", F.when(F.col("l") == top, 1.0).otherwise(0.0))))))
+    return out.withColumn("all_intent_probabilities", shares.scalar())
 
 
 def _weighted(train: DataFrame, label: str) -> tuple[DataFrame, int]:
@@ -81,8 +101,8 @@ def _classifier(n: int, max_iter: int) -> LogisticRegression:
     # C = 1 in the sum-of-losses form is regParam = 1/n in Spark's mean-of-losses form
     # (balanced weights add up to n).
     return LogisticRegression(
-        featuresCol="features", labelCol="_label", weightCol="_weight", maxIter=max_iter,
-        regParam=1.0 / n, elasticNetParam=0.0, standardization=False, tol=1e-4)
+        featuresCol=_FEATURES, labelCol="_label", weightCol="_weight", maxIter=max_iter,
+        rawPredictionCol=_RAW, probabilityCol=_PROBABILITY, predictionCol=_PREDICTION, regParam=1.0 / n, elasticNetParam=0.0, standardization=False, tol=1e-4)
 
 
 def _fit(train: DataFrame, label: str, feature_stages: list, features, max_iter: int,
@@ -92,7 +112,7 @@ def _fit(train: DataFrame, label: str, feature_stages: list, features, max_iter:
         inputCol=label, outputCol="_label", stringOrderType="alphabetAsc").fit(train)
     prepared = indexer.transform(features)
     model = _classifier(n, max_iter).fit(prepared)
-    back = IndexToString(inputCol="prediction", outputCol="_predicted", labels=indexer.labels)
+    back = IndexToString(inputCol=_PREDICTION, outputCol="_predicted", labels=indexer.labels)
     return FittedClassifier(PipelineModel([*feature_stages, model, back]), indexer.labels)
 
 
@@ -123,7 +143,7 @@ def fit_tfidf(
         idf = IDF(inputCol="_tf", outputCol="_idf").fit(counted).idf
         scale = ElementwiseProduct(
             scalingVec=Vectors.dense(idf.toArray() + 1.0), inputCol="_tf", outputCol="_tfidf")
-        unit = Normalizer(inputCol="_tfidf", outputCol="features")
+        unit = Normalizer(inputCol="_tfidf", outputCol=_FEATURES)
         features = unit.transform(scale.transform(counted))
         return _fit(train, label, [*terms.stages, scale, unit], features, max_iter, n)
     finally:
@@ -135,27 +155,9 @@ def fit_embedding(
 ) -> FittedClassifier:
     """The same classifier over a given embedding column."""
     weighted, n = _weighted(train.select(vector, label), label)
-    weighted = weighted.repartition(task_slots(train.sparkSession))
-    as_vector = _VectorColumn(vector)
-    return _VectorClassifier(
-        _fit(train, label, [], as_vector(weighted), max_iter, n), as_vector)
-
-
-class _VectorColumn:
-    def __init__(self, column: str):
-        self.column = column
-
-    def __call__(self, df: DataFrame) -> DataFrame:
-        return df.withColumn("features", array_to_vector(F.col(self.column).cast("array<double>")))
-
-
-class _VectorClassifier(FittedClassifier):
-    def __init__(self, inner: FittedClassifier, as_vector: _VectorColumn):
-        super().__init__(inner.pipeline, inner.labels)
-        self.as_vector = as_vector
-
-    def predict(self, df: DataFrame) -> DataFrame:
-        return super().predict(self.as_vector(df)).drop("features")
+    as_vector = VectorColumn(inputCol=vector)
+    features = as_vector.transform(weighted.repartition(task_slots(train.sparkSession)))
+    return _fit(train, label, [as_vector], features, max_iter, n)
 
 
 def rule_predict(df: DataFrame, text: str = "customer_clean_text", rules=fv.KEYWORD_RULES,

@@ -16,9 +16,9 @@ from careweave.operators import (
     agreement, classification, curation, failures, features, leakage, models, pairing, replies,
     reply_evaluation, retrieval, routing, rubric, summary, trust,
 )
-from careweave.plans import scoring
+from careweave.plans import evaluation, scoring
 from careweave.session import materialize, shared_dir
-from careweave.sources import generators, messages as msg, tables
+from careweave.sources import generators, messages as msg, store, tables
 from careweave.streaming import pairing as stream_pairing, scoring as stream_scoring
 
 # Parameters of the text queries on the given (multilingual, invented) texts.
@@ -151,6 +151,128 @@ def gen_golden(spark, d):
     return generators.golden_items(_documents(spark, d).select((F.col("doc_id") + 1).alias("id")))
 
 
+# --- written and read back ---------------------------------------------------------------
+
+def _folder(spark, name):
+    return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
+
+
+@query
+def store_pairs(spark, d):
+    """The pairs as Parquet and as CSV, read back; every pair must come back from both."""
+    pairs, folder = materialize(_pairs(spark, d)), _folder(spark, "pairs")
+    frames = []
+    for fmt in ("parquet", "csv"):
+        store.write_pairs(pairs, f"{folder}/{fmt}", fmt)
+        frames.append(store.read_pairs(spark, f"{folder}/{fmt}", fmt).withColumn("format", F.lit(fmt)))
+    return frames[0].unionByName(frames[1])
+
+
+@query
+def store_golden(spark, d):
+    """The evaluation items as JSON and as CSV, read back."""
+    items, folder = materialize(gen_golden(spark, d)), _folder(spark, "golden")
+    store.write_golden(items, folder)
+    written = store.read_or_empty(spark, f"{folder}/csv", items.schema, "csv")
+    return store.read_golden(spark, f"{folder}/json").withColumn("format", F.lit("json")).unionByName(
+        written.withColumn("format", F.lit("csv")))
+
+
+@query
+def store_index(spark, d):
+    """A second version of the index, loaded; vectors and search tables must agree."""
+    _, index, terms = _index(spark, d)
+    folder = _folder(spark, "index")
+    for _ in range(2):
+        retrieval.save_index(index, folder, terms)
+    stored, _ = retrieval.load_index(spark, folder)
+    found = retrieval.load_search(spark, folder).cases.select(
+        F.col("case_id").alias("pair_id"), F.size("ids").alias("searched_terms"))
+    total = "aggregate(weights, 0D, (acc, x) -> acc + x)"
+    return stored.join(found, "pair_id").select(
+        "pair_id", F.size("term_ids").alias("n_terms"), "searched_terms", py_round(total, 4).alias("weight_sum"))
+
+
+@query
+def stored_search(spark, d):
+    """Retrieval through a stored index, with the tables it was saved with."""
+    pairs, index, terms = _index(spark, d)
+    folder = _folder(spark, "index")
+    retrieval.save_index(index, folder, terms)
+    return retrieval.retrieve(
+        index, index, terms, query_key="pair_id", query_text="customer_clean_text",
+        query_id="customer_tweet_id", search=retrieval.load_search(spark, folder))
+
+
+@query
+def store_predictions(spark, d):
+    """Prediction records with their nested cases, written and read back."""
+    folder = _folder(spark, "predictions")
+    store.write_predictions(_scored(spark, d), folder)
+    top = F.element_at("retrieved_cases", 1)
+    return spark.read.parquet(folder).select(
+        "pair_id", F.coalesce(F.size("retrieved_cases"), F.lit(0)).alias("n_cases"),
+        top["case_id"].alias("top_case"), "routing_action", "overall_quality_score")
+
+
+@query
+def store_failures(spark, d):
+    """The failure table as CSV, read back."""
+    failed, folder = materialize(failure_cases(spark, d)), _folder(spark, "failures")
+    store.write_failures(failed, folder)
+    return store.read_or_empty(spark, folder, failed.schema, "csv")
+
+
+@query
+def result_document(spark, d):
+    """The result document: all metrics as one JSON text, parsed again."""
+    folder = _folder(spark, "results")
+    store.write_metrics(metric_summary(spark, d), folder)
+    kind = "map<string,map<string,map<string,double>>>"
+    parsed = spark.read.text(folder).select(F.explode(F.from_json("value", kind)).alias("component", "systems"))
+    by_system = parsed.select("component", F.explode("systems").alias("system", "metrics"))
+    return by_system.select("component", "system", F.explode("metrics").alias("metric", "value"))
+
+
+@query
+def read_or_empty(spark, d):
+    """Report tables where some are absent: the stored pairs and no rows from the others."""
+    pairs, folder = materialize(_pairs(spark, d)), _folder(spark, "reports")
+    store.write_pairs(pairs, f"{folder}/pairs")
+    frames = [store.read_or_empty(spark, f"{folder}/{name}", store.PAIR_SCHEMA) for name in ("pairs", "older", "newer")]
+    return frames[0].unionByName(frames[1]).unionByName(frames[2]).select("pair_id", "created_at")
+
+
+@query
+def index_corpus(spark, d):
+    """What an index is built on: the stored pairs, and the evaluation items where there are none."""
+    pairs, folder = materialize(_pairs(spark, d)), _folder(spark, "corpus")
+    store.write_pairs(pairs, f"{folder}/pairs")
+    store.write_golden(gen_golden(spark, d), f"{folder}/golden")
+    both = [store.index_corpus(spark, f"{folder}/{name}", f"{folder}/golden/json") for name in ("pairs", "none")]
+    return both[0].select("pair_id", "support_response").unionByName(both[1].select("pair_id", "support_response"))
+
+
+@query
+def case_lookup(spark, d):
+    """For every kind of failure the case with the smallest id, looked up by that id."""
+    failed = materialize(failure_cases(spark, d))
+    ids = failed.groupBy("failure_type").agg(F.min("pair_id").alias("pair_id")).select("pair_id")
+    return failures.cases_by_id(failed, ids).select("pair_id", "failure_type", "gold_intent", "predicted_intent")
+
+
+@query
+def training_fallback(spark, d):
+    """Training rows by language; a language with too few texts gets the written items instead."""
+    train, golden = _split(spark, d)
+    named = train.select(F.col("doc_id").cast("string").alias("pair_id"), "lang", F.col("text").alias("customer_clean_text"),
+                         F.lit("").alias("support_response"))
+    asked = golden.select(F.col("text").alias("customer_clean_text"))
+    frames = [evaluation.training_rows(named.where(F.col("lang") == lang).drop("lang"), asked, fallback=True).select(
+        F.lit(lang).alias("lang"), "pair_id", "intent") for lang in ("de", "none")]
+    return frames[0].unionByName(frames[1])
+
+
 # --- cleaning, filters, labels ----------------------------------------------------------
 
 @query
@@ -246,6 +368,21 @@ def brand_stats(spark, d):
     return pairing.brand_statistics(_messages(spark, d), tables.BRAND)
 
 
+@query
+def thread_sketches(spark, d):
+    """Distinct questions by turn and over all turns: exact, and whether the stored sketches come
+    within four standard errors."""
+    pairs = materialize(_pairs(spark, d))
+    sketches = materialize(pairing.thread_sketches(pairs, ("created_at",)))
+    whole = F.lit("all").alias("created_at")
+    rough = pairing.distinct_threads(sketches, ("created_at",)).unionByName(
+        pairing.distinct_threads(sketches).select(whole, "threads", "pairs"))
+    exact = pairs.groupBy("created_at").agg(F.count_distinct("customer_tweet_id").alias("exact")).unionByName(
+        pairs.agg(F.count_distinct("customer_tweet_id").alias("exact")).select(whole, "exact"))
+    near = F.abs(F.col("threads") - F.col("exact")) <= F.greatest(F.lit(1.0), F.col("exact") * (4 * 1.04 / 64))
+    return exact.join(rough, "created_at").select("created_at", "exact", "pairs", near.alias("near"))
+
+
 @query
 def supplement_union(spark, d):
     pairs = materialize(_pairs(spark, d))
@@ -497,6 +634,12 @@ def rater_agreement(spark, d):
     return agreement.rater_agreement(_ratings(spark, d))
 
 
+@query
+def rater_agreement_first(spark, d):
+    """The measures over the first rated rows only."""
+    return agreement.rater_agreement(_ratings(spark, d), first_n=fv.RATED_SAMPLE)
+
+
 @query
 def rating_histogram(spark, d):
     return agreement.rating_histogram(_ratings(spark, d))
@@ -504,18 +647,24 @@ def rating_histogram(spark, d):
 
 @query
 def metric_summary(spark, d):
+    """Every component of the result document whose numbers do not rest on a trained model."""
     predictions = _predictions(spark, d)
-    failed = failures.failure_cases(predictions).agg(F.count("*").alias("total"))
+    failed = failures.failure_cases(predictions).agg(F.count("*").alias("total_failures_identified"))
+    docs = tables.labelled_texts(_documents(spark, d))
+    majority = models.majority_predict(docs, docs, "gold_intent")
     return summary.union_all([
         summary.long_metrics(classification_metrics(spark, d), "intent_classification",
-                             classification.METRICS),
+                             classification.METRICS, system_name="keyword_rules"),
+        summary.long_metrics(classification.classification_metrics(majority), "intent_classification",
+                             classification.METRICS, system_name="baseline_0_majority"),
         summary.long_metrics(trust.trust_metrics(predictions), "escalation_routing_trust",
-                             ["unsafe_auto_handle_rate", "automation_rate", "escalation_f1"]),
+                             evaluation.TRUST_METRICS),
+        summary.long_metrics(reply_system_comparison(spark, d), "reply_generation_systems",
+                             evaluation.REPLY_METRICS, "system"),
         summary.long_metrics(rater_agreement(spark, d), "human_vs_judge_agreement",
-                             agreement.MEASURES),
-        summary.long_metrics(brand_stats(spark, d), "dataset_info",
-                             ["usable_customer_support_pairs", "support_reply_ratio"]),
-        summary.long_metrics(failed, "failure_analysis_summary", ["total"]),
+                             [*agreement.MEASURES, "sample_size"]),
+        summary.long_metrics(brand_stats(spark, d), "dataset_info", evaluation.DATASET_METRICS),
+        summary.long_metrics(failed, "failure_analysis_summary", ["total_failures_identified"]),
     ])
 
 
@@ -575,6 +724,30 @@ def model_comparison(spark, d):
     })
 
 
+@query
+def model_properties(spark, d):
+    """What must hold for every prediction of every model: one row each, probabilities of all labels
+    that add up to 1, the label with the largest one and its value; trained models beat the majority."""
+    train, golden = (_hashed(df) for df in _labelled_split(spark, d))
+    frames = {"baseline_0_majority": models.majority_predict(train, golden, probabilities=True),
+              "baseline_1_tfidf": models.fit_tfidf(train, max_iter=50).predict(golden),
+              "main_model_embedding": models.fit_embedding(train, max_iter=50).predict(golden)}
+    values = F.map_values("all_intent_probabilities")
+    total = F.aggregate(values, F.lit(0.0), lambda a, x: a + x)
+    rows = summary.union_all([df.select(
+        F.lit(name).alias("model"), (F.col("gold_intent") == F.col("predicted_intent")).alias("right"),
+        (F.abs(total - 1) < 1e-9).alias("one"), (F.array_max(values) == F.col("confidence")).alias("largest"),
+        (F.element_at("all_intent_probabilities", F.col("predicted_intent")) == F.col("confidence")).alias("named"),
+        F.size(values).alias("labels")) for name, df in frames.items()])
+    found = rows.groupBy("model").agg(
+        F.count("*").alias("n"), F.min("labels").alias("labels"), F.bool_and("one").alias("adds_up"),
+        F.bool_and("largest").alias("is_largest"), F.bool_and("named").alias("is_named"),
+        F.count_if("right").alias("right"))
+    base = found.where("model = 'baseline_0_majority'").select("right").scalar()
+    return materialize(found).select("model", "n", "labels", "adds_up", "is_largest", "is_named",
+                                     (F.col("right") > base).alias("beats_majority"))
+
+
 # --- streams -------------------------------------------------------------------------
 
 def _message_stream(spark, d):

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from careweave import fixed_values as fv
-from careweave.plans import catalog as c
+from careweave.plans import catalog as c, evaluation
 from careweave.sources import tables
 
 BRAND = tables.BRAND
@@ -393,19 +393,23 @@ step("golden", "", f"SELECT doc_id, text, lang, {key('text')} AS k FROM document
                    "WHERE doc_id IN (SELECT doc_id FROM labels)")
 step("cm", "docs", """
   SELECT gold_intent AS gold, predicted_intent AS predicted, count(*) AS n FROM docs GROUP BY ALL""")
-step("per_class", "cm", """
-  SELECT label, coalesce(tp, 0) AS tp, coalesce(np, 0) AS np, coalesce(ng, 0) AS ng,
-         coalesce(coalesce(tp, 0)::DOUBLE / nullif(np, 0), 0) AS precision,
-         coalesce(coalesce(tp, 0)::DOUBLE / nullif(ng, 0), 0) AS recall,
-         2.0 * coalesce(tp, 0) / (coalesce(np, 0) + coalesce(ng, 0)) AS f1
-  FROM (SELECT DISTINCT unnest([gold, predicted]) AS label FROM cm)
-  LEFT JOIN (SELECT gold AS label, sum(n) AS tp FROM cm WHERE gold = predicted GROUP BY 1) USING (label)
-  LEFT JOIN (SELECT predicted AS label, sum(n) AS np FROM cm GROUP BY 1) USING (label)
-  LEFT JOIN (SELECT gold AS label, sum(n) AS ng FROM cm GROUP BY 1) USING (label)""")
-step("cls", "per_class", f"""
-  SELECT {rnd('sum(tp)::DOUBLE / sum(ng)')} AS accuracy, {rnd('avg(precision)')} AS macro_precision,
-         {rnd('avg(recall)')} AS macro_recall, {rnd('avg(f1)')} AS macro_f1,
-         {rnd('sum(f1 * ng) / sum(ng)')} AS weighted_f1 FROM per_class""")
+step("cm_majority", "docs", """
+  SELECT gold_intent AS gold, (SELECT gold_intent FROM docs GROUP BY 1 ORDER BY count(*) DESC, 1 LIMIT 1)
+         AS predicted, count(*) AS n FROM docs GROUP BY ALL""")
+for _of in ("", "_majority"):
+    step(f"per_class{_of}", f"cm{_of}", f"""
+      SELECT label, coalesce(tp, 0) AS tp, coalesce(np, 0) AS np, coalesce(ng, 0) AS ng,
+             coalesce(coalesce(tp, 0)::DOUBLE / nullif(np, 0), 0) AS precision,
+             coalesce(coalesce(tp, 0)::DOUBLE / nullif(ng, 0), 0) AS recall,
+             2.0 * coalesce(tp, 0) / (coalesce(np, 0) + coalesce(ng, 0)) AS f1
+      FROM (SELECT DISTINCT unnest([gold, predicted]) AS label FROM cm{_of})
+      LEFT JOIN (SELECT gold AS label, sum(n) AS tp FROM cm{_of} WHERE gold = predicted GROUP BY 1) USING (label)
+      LEFT JOIN (SELECT predicted AS label, sum(n) AS np FROM cm{_of} GROUP BY 1) USING (label)
+      LEFT JOIN (SELECT gold AS label, sum(n) AS ng FROM cm{_of} GROUP BY 1) USING (label)""")
+    step(f"cls{_of}", f"per_class{_of}", f"""
+      SELECT {rnd('sum(tp)::DOUBLE / sum(ng)')} AS accuracy, {rnd('avg(precision)')} AS macro_precision,
+             {rnd('avg(recall)')} AS macro_recall, {rnd('avg(f1)')} AS macro_f1,
+             {rnd('sum(f1 * ng) / sum(ng)')} AS weighted_f1 FROM per_class{_of}""")
 step("trust", "preds", f"""
   SELECT {rnd('unsafe / greatest(1, gold)::DOUBLE')} AS unsafe_auto_handle_rate,
          {rnd('auto / total::DOUBLE')} AS automation_rate,
@@ -423,29 +427,31 @@ step("rated", "", """
   SELECT event_id AS id, 1.0::DOUBLE + json_extract_string(props, '$.k')::DOUBLE / 25.0::DOUBLE AS human,
          least(5.0::DOUBLE, greatest(1.0::DOUBLE, 1.0::DOUBLE + value / 100.0::DOUBLE)) AS judge
   FROM events""")
-step("bins", "rated", """
-  SELECT *, least(5, greatest(1, round_even(human, 0)::INT)) AS bh,
-         least(5, greatest(1, round_even(judge, 0)::INT)) AS bj,
-         rank() OVER (ORDER BY human) + (count(*) OVER (PARTITION BY human) - 1) / 2.0 AS rh,
-         rank() OVER (ORDER BY judge) + (count(*) OVER (PARTITION BY judge) - 1) / 2.0 AS rj
-  FROM rated""")
-step("bin_index", "bins", """
-  SELECT b, row_number() OVER (ORDER BY b) AS i FROM (SELECT DISTINCT unnest([bh, bj]) AS b FROM bins)""")
-step("kappa", "bin_index", """
-  SELECT coalesce(1 - sum(w * o) / nullif(sum(w * e), 0), 0) AS kappa
-  FROM (SELECT power(x.i - y.i, 2) AS w,
-          (SELECT count(*) FROM bins WHERE bh = x.b AND bj = y.b) AS o,
-          (SELECT count(*) FROM bins WHERE bh = x.b)::DOUBLE
-            * (SELECT count(*) FROM bins WHERE bj = y.b) / (SELECT count(*) FROM bins) AS e
-        FROM bin_index x, bin_index y)""")
-step("agreed", "kappa", f"""
-  SELECT {rnd('corr(rh, rj)')} AS spearman_correlation,
-         {rnd('(SELECT kappa FROM kappa)')} AS weighted_cohens_kappa,
-         {rnd('avg((bh = bj)::INT)')} AS exact_agreement,
-         {rnd('avg((abs(bh - bj) <= 1)::INT)')} AS agreement_within_1_point,
-         {rnd('corr(human, judge)')} AS pearson_correlation,
-         {rnd('avg(abs(human - judge))')} AS mean_absolute_error, count(*) AS sample_size
-  FROM bins""")
+step("rated_first", "rated", f"SELECT * FROM rated ORDER BY id LIMIT {fv.RATED_SAMPLE}")
+for _of in ("", "_first"):
+    step(f"bins{_of}", f"rated{_of}", f"""
+      SELECT *, least(5, greatest(1, round_even(human, 0)::INT)) AS bh,
+             least(5, greatest(1, round_even(judge, 0)::INT)) AS bj,
+             rank() OVER (ORDER BY human) + (count(*) OVER (PARTITION BY human) - 1) / 2.0 AS rh,
+             rank() OVER (ORDER BY judge) + (count(*) OVER (PARTITION BY judge) - 1) / 2.0 AS rj
+      FROM rated{_of}""")
+    step(f"bin_index{_of}", f"bins{_of}", f"""
+      SELECT b, row_number() OVER (ORDER BY b) AS i FROM (SELECT DISTINCT unnest([bh, bj]) AS b FROM bins{_of})""")
+    step(f"kappa{_of}", f"bin_index{_of}", f"""
+      SELECT coalesce(1 - sum(w * o) / nullif(sum(w * e), 0), 0) AS kappa
+      FROM (SELECT power(x.i - y.i, 2) AS w,
+              (SELECT count(*) FROM bins{_of} WHERE bh = x.b AND bj = y.b) AS o,
+              (SELECT count(*) FROM bins{_of} WHERE bh = x.b)::DOUBLE
+                * (SELECT count(*) FROM bins{_of} WHERE bj = y.b) / (SELECT count(*) FROM bins{_of}) AS e
+            FROM bin_index{_of} x, bin_index{_of} y)""")
+    step(f"agreed{_of}", f"kappa{_of}", f"""
+      SELECT {rnd('corr(rh, rj)')} AS spearman_correlation,
+             {rnd(f'(SELECT kappa FROM kappa{_of})')} AS weighted_cohens_kappa,
+             {rnd('avg((bh = bj)::INT)')} AS exact_agreement,
+             {rnd('avg((abs(bh - bj) <= 1)::INT)')} AS agreement_within_1_point,
+             {rnd('corr(human, judge)')} AS pearson_correlation,
+             {rnd('avg(abs(human - judge))')} AS mean_absolute_error, count(*) AS sample_size
+      FROM bins{_of}""")
 step("stats", "clean pairs", f"""
   SELECT {q(BRAND)} AS brand, count(*) AS total_tweets_inspected,
          count(*) FILTER (is_customer) AS customer_messages,
@@ -467,9 +473,20 @@ def knn(where: str) -> str:
     FROM vecs a, vecs b WHERE {where})""", fv.TOP_K), "vecs")
 
 
-def long(component: str, source: str, metrics) -> str:
+_LSH = {"tables": 7, "bits": 5, "radius": 1, "dim": 64}
+step("planes", "", f"""
+  SELECT i // {_LSH['dim']} AS p, list(((x * x + 12345 * n) % 2147483647) / 2147483647.0 - 0.5 ORDER BY i) AS w
+  FROM (SELECT i, i + {fv.SEED * 1_000_003} AS n, ((i + {fv.SEED * 1_000_003} + 1) * 48271) % 2147483647 AS x
+        FROM range({_LSH['tables'] * _LSH['bits'] * _LSH['dim']}) r(i)) GROUP BY 1""")
+step("codes", "vecs planes", f"""
+  SELECT vec_id, any_value(v) AS v, p // {_LSH['bits']} AS t,
+         sum((list_inner_product(v, w) >= 0)::INT << (p % {_LSH['bits']})::INT)::INT AS code
+  FROM vecs, planes GROUP BY vec_id, t""")
+
+
+def long(component: str, source: str, metrics, system: str = "'all'") -> str:
     return " UNION ALL ".join(
-        f"SELECT {q(component)} AS component, 'all' AS system, {q(m)} AS metric, "
+        f"SELECT {q(component)} AS component, {system} AS system, {q(m)} AS metric, "
         f"CAST({m} AS DOUBLE) AS value FROM {source}" for m in metrics)
 
 
@@ -481,6 +498,23 @@ _HEAD, _REST = fv.GROUNDED_PROMPT.split("{query}")
 _MID, _REST = _REST.split("{intent}")
 _BEFORE, _TAIL = _REST.split("{context}")
 _SHORT = r"regexp_replace(printf('%.4f', s.similarity_score), '(\.\d+?)0+$', '\1')"
+_FAILED = f"""
+  SELECT pair_id, customer_clean_text AS customer_message, gold_intent, predicted_intent,
+         {rnd('confidence')} AS confidence, routing_action AS routing_decision,
+         coalesce(top_response, 'None') AS retrieved_case, generated_reply, failure_type,
+         what_failed, likely_cause, potential_improvement FROM failed"""
+_SUMMARY_USES = "cls cls_majority trust compared agreed stats failed"
+_CLASSIFIED = ["accuracy", "macro_precision", "macro_recall", "macro_f1", "weighted_f1"]
+_SUMMARY = " UNION ALL ".join([
+    long("intent_classification", "cls", _CLASSIFIED, "'keyword_rules'"),
+    long("intent_classification", "cls_majority", _CLASSIFIED, "'baseline_0_majority'"),
+    long("escalation_routing_trust", "trust", evaluation.TRUST_METRICS),
+    long("reply_generation_systems", "compared", evaluation.REPLY_METRICS, "system"),
+    long("human_vs_judge_agreement", "agreed", [*_MEASURES, "sample_size"]),
+    long("dataset_info", "stats", evaluation.DATASET_METRICS),
+    long("failure_analysis_summary", "(SELECT count(*) AS total_failures_identified FROM failed)",
+         ["total_failures_identified"]),
+])
 
 
 def oracle_sql() -> dict[str, str]:
@@ -525,6 +559,10 @@ def oracle_sql() -> dict[str, str]:
             PARTITION BY lang ORDER BY {_HASH}, doc_id) <= {c.STRATUM_ROWS}""",
         "reconstruct_pairs": full("SELECT * FROM pairs", "pairs"),
         "brand_stats": full("SELECT * FROM stats", "stats"),
+        "thread_sketches": full("""
+          SELECT created_at, count(DISTINCT customer_tweet_id) AS exact, count(*) AS pairs, true AS near
+          FROM pairs GROUP BY 1
+          UNION ALL SELECT 'all', count(DISTINCT customer_tweet_id), count(*), true FROM pairs""", "pairs"),
         "supplement_union": full(f"""
           SELECT pair_id, customer_clean_text, support_clean_text, NULL::VARCHAR AS intent FROM pairs
           UNION ALL
@@ -548,6 +586,12 @@ def oracle_sql() -> dict[str, str]:
           SELECT vec_id, (unnest(range(1, 65)) - 1)::INT AS position,
                  {rnd('unnest(v)', 6)} AS x FROM vecs""", "vecs"),
         "knn_topk": knn("true"),
+        "knn_lsh": full(ranked(f"""(
+          SELECT a.vec_id AS query_id, b.vec_id AS case_id,
+                 {rnd('greatest(0.0, list_inner_product(any_value(a.v), any_value(b.v)))')} AS similarity_score
+          FROM codes a JOIN codes b ON a.t = b.t AND a.vec_id <> b.vec_id
+               AND bit_count(xor(a.code, b.code)) <= {_LSH['radius']}
+          GROUP BY a.vec_id, b.vec_id)""", fv.TOP_K), "codes"),
         "knn_masked": knn("a.vec_id <> b.vec_id AND a.label <> b.label"),
         "tfidf_terms": f"""
           SELECT term, df, total::BIGINT AS total,
@@ -587,11 +631,7 @@ def oracle_sql() -> dict[str, str]:
         "judge_replies": full(f"""
           SELECT pair_id, system, {', '.join(fv.RUBRIC_SCORES)}, overall_quality_score
           FROM judged_systems""", "judged_systems"),
-        "failure_cases": full(f"""
-          SELECT pair_id, customer_clean_text AS customer_message, gold_intent, predicted_intent,
-                 {rnd('confidence')} AS confidence, routing_action AS routing_decision,
-                 coalesce(top_response, 'None') AS retrieved_case, generated_reply, failure_type,
-                 what_failed, likely_cause, potential_improvement FROM failed""", "failed"),
+        "failure_cases": full(_FAILED, "failed"),
         "failure_subcategory": full(
             "SELECT pair_id, failure_type, empirical_subcategory FROM failed", "failed"),
         "failure_counts": full("""
@@ -658,19 +698,44 @@ def oracle_sql() -> dict[str, str]:
           SELECT r::INT AS rating, (SELECT count(*) FROM bins WHERE bh = r) AS human,
                  (SELECT count(*) FROM bins WHERE bj = r) AS judge
           FROM range(1, 6) AS t(r)""", "bins"),
-        "metric_summary": full(" UNION ALL ".join([
-            long("intent_classification", "cls", ["accuracy", "macro_precision", "macro_recall",
-                                                  "macro_f1", "weighted_f1"]),
-            long("escalation_routing_trust", "trust",
-                 ["unsafe_auto_handle_rate", "automation_rate", "escalation_f1"]),
-            long("human_vs_judge_agreement", "agreed", _MEASURES),
-            long("dataset_info", "stats", ["usable_customer_support_pairs", "support_reply_ratio"]),
-            long("failure_analysis_summary", "(SELECT count(*) AS total FROM failed)", ["total"]),
-        ]), "cls trust agreed stats failed"),
+        "metric_summary": full(_SUMMARY, _SUMMARY_USES),
+        "result_document": full(_SUMMARY, _SUMMARY_USES),
+        "rater_agreement_first": full("SELECT * FROM agreed_first", "agreed_first"),
+        "store_pairs": full("SELECT *, unnest(['parquet', 'csv']) AS format FROM pairs", "pairs"),
+        "store_golden": full("SELECT *, unnest(['json', 'csv']) AS format FROM gold_items", "gold_items"),
+        "store_index": full(f"""
+          SELECT pair_id, coalesce(n, 0)::INT AS n_terms, coalesce(n, 0)::INT AS searched_terms,
+                 {rnd('coalesce(s, 0)')} AS weight_sum
+          FROM pairs LEFT JOIN (SELECT pair_id, count(*) AS n, sum(w) AS s FROM weights GROUP BY 1)
+          USING (pair_id)""", "weights"),
+        "stored_search": full("SELECT * FROM cases", "cases"),
+        "store_predictions": full("""
+          SELECT s.pair_id, coalesce(n, 0)::INT AS n_cases, top_case, routing_action, overall_quality_score
+          FROM scored s LEFT JOIN (SELECT query_id, count(*) AS n, min_by(case_id, rank) AS top_case
+                                   FROM cases GROUP BY 1) l ON l.query_id = s.pair_id""", "scored"),
+        "store_failures": full(_FAILED, "failed"),
+        "read_or_empty": full("SELECT pair_id, created_at FROM pairs", "pairs"),
+        "index_corpus": full("""
+          SELECT pair_id, support_response FROM pairs
+          UNION ALL SELECT pair_id, support_response FROM gold_items""", "pairs gold_items"),
+        "case_lookup": full("""
+          SELECT pair_id, failure_type, gold_intent, predicted_intent FROM failed
+          WHERE pair_id IN (SELECT min(pair_id) FROM failed GROUP BY failure_type)""", "failed"),
+        "training_fallback": full(f"""
+          SELECT 'de' AS lang, doc_id::VARCHAR AS pair_id, {label('text', fv.KEYWORD_RULES)} AS intent
+          FROM train WHERE lang = 'de' AND k NOT IN (SELECT k FROM golden)
+          UNION ALL SELECT 'none', pair_id, gold_intent FROM gold_items
+          WHERE pair_id IN ({', '.join(q(x[0]) for x in fv.GOLDEN_LITERALS)})""", "train golden gold_items"),
         "majority_baseline": full(f"""
           SELECT doc_id, (SELECT {gold} FROM train WHERE k NOT IN (SELECT k FROM golden)
                           GROUP BY 1 ORDER BY count(*) DESC, 1 LIMIT 1) AS predicted_intent,
                  1.0::DOUBLE AS confidence FROM golden""", "train golden"),
+        "model_properties": full(f"""
+          SELECT unnest(['baseline_0_majority', 'baseline_1_tfidf', 'main_model_embedding']) AS model,
+                 (SELECT count(*) FROM golden) AS n,
+                 (SELECT count(DISTINCT {gold}) FROM train WHERE k NOT IN (SELECT k FROM golden))::INT AS labels,
+                 true AS adds_up, true AS is_largest, true AS is_named,
+                 unnest([false, true, true]) AS beats_majority""", "train golden"),
         "stream_pairs": full("SELECT * FROM pairs", "pairs"),
         "stream_scores": full("""
           SELECT customer_tweet_id, predicted_intent, routing_action, risk_score, top_retrieval_sim,

@@ -17,6 +17,16 @@ from careweave.session import materialize
 from careweave.sources import store
 from careweave.sources.generators import golden_set
 
+TRUST_METRICS = [
+    "unsafe_auto_handle_rate", "automation_rate", "escalation_precision", "escalation_recall",
+    "escalation_f1", "total_evaluated", "gold_escalations_total", "unsafe_auto_handles_count",
+]
+REPLY_METRICS = ["overall_quality_score", *fv.RUBRIC_SCORES, "secondary_bleu_4", "secondary_rouge_l"]
+DATASET_METRICS = [
+    "total_tweets_inspected", "customer_messages", "brand_replies", "usable_customer_support_pairs",
+    "approximate_thread_count", "support_reply_ratio",
+]
+
 
 @dataclass
 class Evaluation:
@@ -54,11 +64,13 @@ def training_rows(pairs: DataFrame, golden: DataFrame, *, fallback: bool = False
 
 def evaluate(pairs: DataFrame, golden: DataFrame, *, stop_words: tuple[str, ...] | None = None,
              max_iter: int = 100, vector: str | None = None, first_n: int | None = None,
-             fallback: bool = False) -> Evaluation:
+             fallback: bool = False, statistics: DataFrame | None = None) -> Evaluation:
     """Run every evaluation step; training and retrieval never see a golden text.
 
     ``vector`` names an embedding column of both frames and adds the model over it. Agreement
-    covers all rated rows, or the ``first_n`` of them.
+    covers all rated rows, or the ``first_n`` of them. The document tells how many pairs there
+    are for training and evaluation, and with ``statistics`` (``brand_statistics``) what they
+    were made from.
     """
     from pyspark.ml.feature import StopWordsRemover
 
@@ -88,15 +100,15 @@ def evaluate(pairs: DataFrame, golden: DataFrame, *, stop_words: tuple[str, ...]
         by_name["main_model_embedding"] = models.fit_embedding(
             train, vector, max_iter=max_iter).predict(golden)
     by_model = models.compare_models(by_name)
+    sizes = [long_metrics(df.agg(F.count("*").alias(name)), "dataset_info", [name])
+             for name, df in (("training_pairs", train), ("golden_items", golden))]
+    if statistics is not None:
+        sizes.append(long_metrics(statistics, "dataset_info", DATASET_METRICS))
     metrics = union_all([
+        *sizes,
         long_metrics(by_model, "intent_classification", classification.METRICS, "model"),
-        long_metrics(trust.trust_metrics(predictions), "escalation_routing_trust", [
-            "unsafe_auto_handle_rate", "automation_rate", "escalation_precision",
-            "escalation_recall", "escalation_f1", "total_evaluated", "gold_escalations_total",
-            "unsafe_auto_handles_count"]),
-        long_metrics(systems, "reply_generation_systems", [
-            "overall_quality_score", *fv.RUBRIC_SCORES, "secondary_bleu_4", "secondary_rouge_l"],
-            "system"),
+        long_metrics(trust.trust_metrics(predictions), "escalation_routing_trust", TRUST_METRICS),
+        long_metrics(systems, "reply_generation_systems", REPLY_METRICS, "system"),
         long_metrics(agreement.rater_agreement(rated, first_n=first_n),
                      "human_vs_judge_agreement", [*agreement.MEASURES, "sample_size"]),
         long_metrics(failed.agg(F.count("*").alias("total_failures_identified")),

@@ -48,19 +48,20 @@ def score_messages(
     queries: DataFrame, index: DataFrame | None, terms: DataFrame | None = None, *,
     query_key: str = "pair_id", query_id: str = "customer_tweet_id",
     text: str = "customer_clean_text", case_key: str = "pair_id", k: int = fv.TOP_K,
-    cases: DataFrame | None = None, rules: Mapping[str, Sequence[str]] = fv.KEYWORD_RULES,
-    **routing,
+    cases: DataFrame | None = None, search: retrieval.TextIndex | None = None,
+    rules: Mapping[str, Sequence[str]] = fv.KEYWORD_RULES, **routing,
 ) -> DataFrame:
     """Every query with its label, cases, routing decision, reply and reply scores.
 
     Labels already on the frame (``predicted_intent``, ``confidence``) are used as they are;
-    otherwise the keyword rules decide. ``cases`` takes retrieval results computed before.
+    otherwise the keyword rules decide. ``cases`` takes retrieval results computed before,
+    ``search`` the search tables of the index.
     Without an index no case is found, as with an empty one.
     """
     if cases is None:
         cases = retrieval.empty_cases(queries.sparkSession) if index is None else (
             retrieval.retrieve(queries, index, terms, query_key=query_key, query_text=text,
-                               query_id=query_id, case_key=case_key, k=k))
+                               query_id=query_id, case_key=case_key, k=k, search=search))
     labelled = queries if "predicted_intent" in queries.columns else (
         models.rule_predict(queries, text, rules))
     texts = with_case_texts(cases, index, case_key) if index is not None else (

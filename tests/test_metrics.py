@@ -60,7 +60,8 @@ def test_label_operators(spark):
     assert tuple(classification.majority_label(df, "intent").head()) == ("a", 2)
     weights = {r["label"]: r["weight"] for r in classification.class_weights(df, "intent").collect()}
     assert weights == pytest.approx({"a": 5 / 6, "b": 5 / 6, "c": 5 / 3})
-    p = majority_predict(df, df).head()
+    p = majority_predict(df, df, probabilities=True).head()
+    assert "all_intent_probabilities" not in majority_predict(df, df).columns
     assert p["predicted_intent"] == "a" and p["all_intent_probabilities"] == {"a": 1.0, "b": 0.0, "c": 0.0}
 
 
@@ -136,6 +137,24 @@ def test_agreement_of_few_rows(spark):
     assert bins == {1: (0, 0), 2: (0, 0), 3: (0, 0), 4: (1, 0), 5: (0, 1)}
 
 
+def test_ranks_of_many_distinct_values(spark):
+    """Ranges put together give the ranks of one sort, ties averaged, whatever the number of ranges."""
+    rng = np.random.default_rng(7)
+    values = {"h": rng.integers(0, 15_000, 40_000) / 7.0, "j": rng.standard_normal(30_000)}
+    parts = [spark.createDataFrame([(float(x),) for x in v], "v double").withColumn("side", F.lit(s))
+             for s, v in values.items()]
+    big = spark.range(1_000_000).select(F.lit("k").alias("side"), (F.col("id") * 7919 % 1_000_003 / 3.0).alias("v"))
+    rows = parts[0].unionByName(parts[1]).unionByName(big).groupBy("side", "v").agg(F.count("*").alias("n"))
+    ranks = agreement.average_ranks(rows.repartition(7)).cache()
+    for side, v in values.items():
+        found, counts = np.unique(v, return_counts=True)
+        want = np.cumsum(counts) - counts + (counts + 1) / 2
+        got = {r["v"]: r["rank"] for r in ranks.where(F.col("side") == side).collect()}
+        assert got == dict(zip(found.tolist(), want.tolist()))
+    wrong = ranks.where("side = 'k'").selectExpr("v", "rank", "rank() over (partition by side order by v) as r")
+    assert wrong.where("rank <> r").isEmpty() and wrong.count() == 1_000_000
+
+
 def test_quartiles_by_action(spark):
     rng = random.Random(2)
     rows = [(rng.choice("xy"), rng.random()) for _ in range(101)]
@@ -149,4 +168,4 @@ def test_quartiles_by_action(spark):
 def test_every_query_and_check_is_named_alike():
     assert set(checks.oracle_sql()) <= set(catalog.queries())
     without = set(catalog.queries()) - set(checks.oracle_sql())
-    assert without == {"knn_lsh", "tfidf_lr", "embedding_lr", "model_comparison"}
+    assert without == {"tfidf_lr", "embedding_lr", "model_comparison"}

@@ -37,13 +37,20 @@ def test_tfidf_model(spark, train, tmp_path):
     assert again == rows
 
 
-def test_embedding_model(spark):
+def test_embedding_model(spark, tmp_path):
     df = spark.createDataFrame(
-        [(i, [float(i % 3 == j) for j in range(3)], "abc"[i % 3]) for i in range(12)],
-        "id int, embedding array<double>, intent string")
-    rows = models.fit_embedding(df, max_iter=20).predict(df).collect()
+        [(i, [float(i % 3 == j) for j in range(3)], "abc"[i % 3], f"f{i}", i / 2) for i in range(12)],
+        "id int, v array<float>, intent string, features string, probability double")
+    fitted = models.fit_embedding(df, "v", max_iter=20)
+    rows = fitted.predict(df).orderBy("id").collect()
     assert all(r["predicted_intent"] == r["intent"] for r in rows)
-    assert "features" not in models.fit_embedding(df, max_iter=2).predict(df).columns
+    # A caller's columns pass through, whatever their names.
+    assert [(r["features"], r["probability"]) for r in rows] == [(f"f{i}", i / 2) for i in range(12)]
+    fitted.save(str(tmp_path / "model"))
+    again = models.FittedClassifier.load(str(tmp_path / "model"))
+    assert again.labels == ["a", "b", "c"] and again.predict(df).orderBy("id").collect() == rows
+    asked = df.select("id", "v").where("id < 3")
+    assert [r["predicted_intent"] for r in again.predict(asked).orderBy("id").collect()] == ["a", "b", "c"]
 
 
 def test_ngram_vocabulary(spark):

@@ -146,3 +146,20 @@ def test_prepare_writes_pairs(spark, tmp_path):
     assert pairs.count() == 1 + fv.SUPPLEMENT_ROWS and pairs.where("pair_id = '10_11'").count() == 1
     store.write_pairs(pairs, str(tmp_path / "csv"), "csv")
     assert store.read_pairs(spark, str(tmp_path / "csv"), "csv").count() == pairs.count()
+
+
+def test_sketches_of_days_add_up(spark):
+    """Merged sketches equal the sketch of all pairs and stay within four standard errors."""
+    pairs = spark.range(60_000).select(
+        F.concat(F.lit("q"), F.col("id") % 20_011).alias("customer_tweet_id"),
+        (F.col("id") % 30).alias("day"), F.when(F.col("id") % 3 == 0, "a").otherwise("b").alias("brand"))
+    stored = pairing.thread_sketches(pairs, ("day", "brand")).cache()
+    assert stored.count() == pairs.select("day", "brand").distinct().count()
+    whole = pairing.distinct_threads(pairing.thread_sketches(pairs, ())).head()
+    assert pairing.distinct_threads(stored).head() == whole and whole["pairs"] == 60_000
+    assert abs(whole["threads"] - 20_011) <= 4 * 1.04 / 64 * 20_011
+    by_brand = {r["brand"]: r["threads"] for r in pairing.distinct_threads(stored, ("brand",)).collect()}
+    exact = {r["brand"]: r["n"] for r in pairs.groupBy("brand").agg(F.count_distinct("customer_tweet_id").alias("n")).collect()}
+    assert all(abs(by_brand[b] - n) <= 4 * 1.04 / 64 * n for b, n in exact.items())
+    sizes = stored.agg(F.max(F.octet_length("sketch"))).head()[0]
+    assert sizes < 2 ** 12 + 100

@@ -49,6 +49,42 @@ def test_stream_pairs_resume_without_repeating(spark, tmp_path):
     assert sorted(r["pair_id"] for r in run_pairs(spark, tmp_path, "run").collect()) == ["1_2", "3_4"]
 
 
+def test_duplicate_ids_and_pairs_give_the_batch_rows(spark, tmp_path):
+    """An id that comes twice keeps its earliest row; equal pairs are passed on once, also after a restart."""
+    batches = [
+        [("1", "ana", "", "01", "@Shop where is my parcel", 0), ("1", "eve", "", "09", "another text for this id", 9),
+         ("7", "cy", "", "02", "no", 1), ("7", "cy", "", "08", "a longer question that comes later", 8)],
+        [("2", "Shop", "1", "10", "@ana we are looking into it", 10), ("8", "Shop", "7", "11", "reply to a short one", 11),
+         ("5", "Shop", "4", "12", "we are looking into it", 12)],
+        [("4", "bob", "", "03", "where is my parcel", 3), ("3", "Shop", "1", "13", "we are looking into it", 13),
+         ("6", "Shop", "4", "14", "a different answer to it", 14)],
+    ]
+    everything = [r for rows in batches for r in rows]
+    batch = pairing.reconstruct_pairs(spark.createDataFrame(everything, COLUMNS), "Shop")
+    want = sorted(batch.collect())
+    assert [r["pair_id"] for r in want] == ["1_2", "4_6"]
+    message_files(spark, tmp_path / "in", *batches)
+    for name, options in (("all", {}), ("one", {"maxFilesPerTrigger": 1})):
+        assert sorted(run_pairs(spark, tmp_path, name, **options).select(batch.columns).collect()) == want
+    # The same files one run at a time, from the checkpoint.
+    for i, rows in enumerate(batches):
+        message_files(spark, tmp_path / "in2", rows)
+        stream = stream_pairing.stream_pairs(as_stream(spark, tmp_path / "in2"), "Shop")
+        stream_pairing.write_pairs_stream(stream, target=str(tmp_path / "out2"),
+                                          checkpoint=str(tmp_path / "state2")).awaitTermination()
+    assert sorted(spark.read.parquet(str(tmp_path / "out2")).select(batch.columns).collect()) == want
+
+
+def test_old_state_is_dropped(spark, tmp_path):
+    """A reply long after its question finds nothing, and the state of old threads goes."""
+    first = [("1", "ana", "", "01", "where is my parcel now", 0), ("2", "Shop", "1", "02", "we are looking into it", 2)]
+    later = [("9", "bo", "", "90", "a question on the next day", 1500)]
+    last = [("3", "Shop", "1", "91", "an answer that is too late", 1501), ("10", "Shop", "9", "92", "an answer in good time", 1502)]
+    message_files(spark, tmp_path / "in", first, later, later[:0] + last)
+    got = run_pairs(spark, tmp_path, "one", maxFilesPerTrigger=1)
+    assert sorted(r["pair_id"] for r in got.collect()) == ["1_2", "9_10"]
+
+
 def test_stream_scores_match_batch(spark, tmp_path):
     pairs = spark.createDataFrame(
         [("p1", "a", "b", "package tracking delayed", "DM us"), ("p2", "c", "d", "refund to my card", "ok")],
