@@ -48,14 +48,15 @@ def block_count(n: Column, block_rows: int, slots: int) -> Column:
     return F.greatest(F.lit(1), F.ceil(n / float(block_rows)), wanted).cast("int")
 
 
-def block_join(queries: DataFrame, cases: DataFrame, kernel: Callable, block_rows: int) -> DataFrame:
+def block_join(queries: DataFrame, cases: DataFrame, kernel: Callable, block_rows: int,
+               counts: tuple[int, int] | None = None) -> DataFrame:
     """The lists of every query for every block of cases: the full scan.
 
     Both sides are cut by a hash of their id into blocks of at most about ``block_rows`` rows, and
-    every query block meets every case block in one task.
+    every query block meets every case block in one task. ``counts`` of both sides, where known.
     """
     slots = task_slots(queries.sparkSession)
-    n_query, n_case = queries.count(), cases.count()
+    n_query, n_case = counts or (queries.count(), cases.count())
     queries, cases = (df.withColumns({"_nq": block_count(F.lit(n_query), block_rows, slots),
                                       "_nc": block_count(F.lit(n_case), block_rows, 1)})
                       for df in (queries, cases))

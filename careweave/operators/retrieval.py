@@ -158,7 +158,7 @@ def top_k(
     # The raw id is only read by substring masks; it is the mask value without its prefix.
     left = left.withColumn("qid", F.substring("m1", 3, 2**31 - 1))
     index = cases if isinstance(cases, TextIndex) else text_search.prepare(
-        _text_cases(cases, case_key, vector, term_ids, case_ids, case_text))
+        _text_cases(cases, case_key, vector, term_ids, case_ids, case_text), once=True)
     return text_search.search(left, index, k, substring=substring, block_rows=block_rows)
 
 

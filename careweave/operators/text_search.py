@@ -67,11 +67,13 @@ def with_slices(cases: DataFrame, slice_rows: int = SLICE_ROWS,
 
 
 def prepare(cases: DataFrame, *, champions: int = CHAMPIONS, slice_rows: int = SLICE_ROWS,
-            slice_entries: int = SLICE_ENTRIES) -> TextIndex:
-    """The index tables of one side of cases, written once."""
+            slice_entries: int = SLICE_ENTRIES, once: bool = False) -> TextIndex:
+    """The index tables of one side of cases. Cases are written; directory and champions too, but
+    for a single search (``once``), which reads each of them one time."""
     placed, n = with_slices(cases, slice_rows, slice_entries)
     placed = materialize(placed)
-    return TextIndex(placed, *map(materialize, term_tables(placed, champions)), n)
+    tables = term_tables(placed, champions)
+    return TextIndex(placed, *(tables if once else map(materialize, tables)), n)
 
 
 def term_tables(cases: DataFrame, champions: int = CHAMPIONS) -> tuple[DataFrame, DataFrame]:
@@ -267,8 +269,7 @@ def pruned_lists(queries: DataFrame, index: TextIndex, k: int, substring: bool =
     that many queries ask for is copied for every ``query_rows`` of them.
     """
     sent = materialize(routes(queries, index))
-    chunks = materialize(sent.groupBy("slice").agg(
-        F.ceil(F.count("*") / query_rows).cast("int").alias("chunks")))
+    chunks = sent.groupBy("slice").agg(F.ceil(F.count("*") / query_rows).cast("int").alias("chunks"))
     left = sent.join(chunks, "slice").withColumn(
         "chunk", F.pmod(F.xxhash64("query_id"), F.col("chunks")).cast("int")).drop("chunks").join(
         queries.drop("entries"), "query_id")
@@ -294,12 +295,14 @@ def search(queries: DataFrame, index: TextIndex, k: int, *, substring: bool = Fa
     everything = kernel(k, pruned=False, substring=substring)
     for pool in (pool_rows, None):
         had = found.groupBy("query_id").agg(F.count("*").alias("_had"))
-        short = asked.join(had, "query_id", "left").where(
-            F.coalesce("_had", F.lit(0)) < min(k, index.n_cases)).drop("_had", "entries")
-        if short.isEmpty():
+        short = materialize(asked.join(had, "query_id", "left").where(
+            F.coalesce("_had", F.lit(0)) < min(k, index.n_cases)).drop("_had", "entries"))
+        n_short = short.count()
+        if not n_short:
             break
         cases = index.cases if pool is None else index.cases.orderBy("case_id").limit(pool)
-        more = block_join(materialize(short), materialize(cases), everything, block_rows)
+        n_cases = index.n_cases if pool is None else min(pool, index.n_cases)
+        more = block_join(short, cases, everything, block_rows, (n_short, n_cases))
         found = materialize(ranked(once(found.drop("rank").unionByName(more)), k))
         if pool is not None and index.n_cases <= pool:
             break
