@@ -1,18 +1,27 @@
-"""Near-duplicates: banded MinHash, odd sketches as a filter, exact sets as the proof."""
+"""Near-duplicates: banded MinHash, odd sketches as a filter, exact sets as the proof.
+
+Two parity bitmaps filter candidates. One folds the MinHash samples: its XOR population count
+estimates the similarity, and five sigmas are allowed for. The other folds the whole set: an
+element of both sets cancels out, so its count never exceeds the symmetric difference, and a pair
+that differs in more bits than the threshold allows elements is none, without any error.
+"""
 
 from __future__ import annotations
 
 import math
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame, functions as F
 
-from careweave.session import materialize
+from careweave.operators.skew import split_join
+from careweave.session import discard, materialize, recorded_tables
 
-WORDS, BANDS, ROWS, BITS = 5, 36, 7, 1024
+WORDS, BANDS, ROWS, BITS, SET_BITS = 5, 36, 7, 1024, 2048
+STAR_ROUNDS = 2
+HUB_PAIRS = 5000
 _ODD = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -67,28 +76,39 @@ class Sketcher:
             keys = (keys ^ part) * _ODD
             keys ^= keys >> np.uint64(31)
         spots = ((low + self.salt) * _ODD >> np.uint64(40)).astype(np.int64) % BITS
-        odd = np.packbits((np.bincount(spots, minlength=BITS) & 1).astype(np.uint8))
-        return keys.view(np.int64), odd.view(np.int64)
+        return keys.view(np.int64), parity(spots, BITS)
+
+
+def parity(spots: np.ndarray, bits: int) -> np.ndarray:
+    """A bitmap of which spots occur an odd number of times, as 64-bit words."""
+    return np.packbits((np.bincount(spots, minlength=bits) & 1).astype(np.uint8)).view(np.int64)
 
 
 def features(docs: DataFrame, bands: int = BANDS, rows: int = ROWS) -> DataFrame:
-    """doc_id, n_shingles, digest of the set, band keys, odd sketch."""
+    """doc_id, n_shingles, digest of the set, band keys, odd sketches of samples and set."""
+    id_type = docs.schema["doc_id"].dataType.simpleString()
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shingles, sketch = Shingles(), Sketcher(bands, rows)
         for batch in batches:
-            out = [[], [], [], []]
+            out = [[], [], [], [], []]
             for text in batch.column("text").to_pylist():
                 h = shingles.of(text)
                 keys, odd = sketch(h) if len(h) else (None, None)
-                for column, x in zip(out, (len(h), xxhash.xxh3_128_digest(h.tobytes())
-                                           if len(h) else None, keys, odd), strict=True):
+                whole = parity((h >> np.uint64(53)).astype(np.int64), SET_BITS) if len(h) else None
+                for column, x in zip(out, (len(h), set_digest(h) if len(h) else None, keys, odd, whole), strict=True):
                     column.append(x)
             yield pa.RecordBatch.from_arrays([
                 batch.column("doc_id"), pa.array(out[0], pa.int64()), pa.array(out[1], pa.binary()),
-                pa.array(out[2], pa.list_(pa.int64())), pa.array(out[3], pa.list_(pa.int64()))],
-                names=["doc_id", "n_shingles", "digest", "bands", "odd"])
+                *(pa.array(x, pa.list_(pa.int64())) for x in out[2:])],
+                names=["doc_id", "n_shingles", "digest", "bands", "odd", "whole"])
     return docs.select("doc_id", "text").mapInArrow(
-        run, "doc_id long, n_shingles long, digest binary, bands array<long>, odd array<long>")
+        run, f"doc_id {id_type}, n_shingles long, digest binary, bands array<long>, odd array<long>, "
+             "whole array<long>")
+
+
+def set_digest(hashes: np.ndarray) -> bytes:
+    return xxhash.xxh3_128_digest(hashes.tobytes())
 
 
 def parity_limit(percent: int, samples: int, sigmas: float = 5.0) -> int:
@@ -98,27 +118,48 @@ def parity_limit(percent: int, samples: int, sigmas: float = 5.0) -> int:
     return math.ceil(BITS / 2 * (1 - math.exp(-4 * samples * (1 - low) / BITS)))
 
 
+def _differing(name: str, bits: int) -> Column:
+    return sum((F.bit_count(F.col(f"a.{name}")[i].bitwiseXOR(F.col(f"b.{name}")[i]))
+                for i in range(bits // 64)), F.lit(0))
+
+
 def _alike(percent: int, limit: int) -> Column:
-    differing = sum((F.bit_count(F.col("a.odd")[i].bitwiseXOR(F.col("b.odd")[i]))
-                     for i in range(BITS // 64)), F.lit(0))
     sizes = 100 * F.least("a.n", "b.n") >= percent * F.greatest("a.n", "b.n")
-    return sizes & (differing <= limit)
+    apart = (100 + percent) * _differing("whole", SET_BITS) <= (100 - percent) * (F.col("a.n") + F.col("b.n"))
+    return sizes & (_differing("odd", BITS) <= limit) & apart
+
+
+def _settled(build: Callable[[], DataFrame]) -> DataFrame:
+    """The table that ``build`` ends with; those that it wrote on the way are deleted."""
+    with recorded_tables() as paths:
+        out = build()
+    discard(out.sparkSession, paths[:-1])
+    return out
 
 
-def _proved(docs: DataFrame, pairs: DataFrame, percent: int) -> DataFrame:
-    """Pairs whose full sets reach the threshold; each candidate text is read once."""
-    ends = pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct()
+def _proved(docs: DataFrame, classes: DataFrame, pairs: DataFrame, percent: int) -> DataFrame:
+    """Pairs of classes whose full sets reach the threshold; each candidate text is read once.
+
+    Texts are found by the id of a class and known by the digest of their set, since several
+    texts may share an id.
+    """
+    ends = materialize(pairs.select(F.col("a").alias("g")).unionByName(pairs.select(F.col("b").alias("g")))
+                       .distinct().join(classes.select("g", "digest", "doc_id"), "g"))
+    ids = ends.select(F.col("doc_id").alias("_id")).distinct()
 
     def sets(batches):
         shingles = Shingles()
         for batch in batches:
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(
-                [shingles.of(x).tobytes() for x in batch.column("text").to_pylist()], pa.binary())],
-                names=["doc_id", "hashes"])
+            found = [shingles.of(x) for x in batch.column("text").to_pylist()]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([set_digest(h) for h in found], pa.binary()),
+                 pa.array([h.tobytes() for h in found], pa.binary())], names=["digest", "hashes"])
 
-    found = materialize(docs.select("doc_id", "text").join(ends, "doc_id").mapInArrow(
-        sets, "doc_id long, hashes binary"))
-    both = pairs.join(found.toDF("a", "ha"), "a").join(found.toDF("b", "hb"), "b")
+    read = docs.select("doc_id", "text").join(ids, F.col("doc_id").eqNullSafe(F.col("_id")), "left_semi")
+    found = materialize(read.mapInArrow(sets, "digest binary, hashes binary").join(
+        ends.select("g", "digest"), "digest").dropDuplicates(["g"]).select("g", "hashes"))
+    # The middle of a star stands in all of its pairs.
+    both = split_join(pairs, found.toDF("a", "ha"), "a", min_rows=HUB_PAIRS).join(found.toDF("b", "hb"), "b")
 
     def prove(batches):
         for batch in batches:
@@ -129,13 +170,14 @@ def _proved(docs: DataFrame, pairs: DataFrame, percent: int) -> DataFrame:
                 keep.append(100 * same >= percent * (len(x) + len(y) - same))
             yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
-    return materialize(both.mapInArrow(prove, "a long, b long").distinct())
+    return materialize(both.select("a", "b", "ha", "hb").mapInArrow(prove, "a long, b long").distinct())
 
 
 def components(edges: DataFrame) -> DataFrame:
     """node, component (smallest node reachable) by large-star and small-star rounds."""
-    links = materialize(edges.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v"))
-                        .where("u <> v").distinct())
+    with recorded_tables() as paths:
+        links = materialize(edges.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v"))
+                            .where("u <> v").distinct())
     seen = None
     while True:
         both = links.unionByName(links.select(F.col("v").alias("u"), F.col("u").alias("v")))
@@ -145,7 +187,10 @@ def components(edges: DataFrame) -> DataFrame:
         low = large.groupBy("u").agg(F.min("v").alias("m"))
         small = large.join(low, "u").where("v <> m").select(
             F.col("v").alias("u"), F.col("m").alias("v"))
-        links = materialize(small.unionByName(low.select("u", F.col("m").alias("v"))).distinct())
+        before = paths
+        with recorded_tables() as paths:
+            links = materialize(small.unionByName(low.select("u", F.col("m").alias("v"))).distinct())
+        discard(links.sparkSession, before)
         now = links.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(20,0)"))).first()
         if now == seen:
             return links.select(F.col("u").alias("node"), F.col("v").alias("component"))
@@ -156,49 +201,72 @@ def near_duplicates(docs: DataFrame, percent: int = 85, bands: int = BANDS,
                     rows: int = ROWS) -> DataFrame:
     """doc_id, n_shingles, component_id of every row: documents linked at ``percent`` Jaccard.
 
-    Equal sets form one class, its smallest id stands for it. In every band bucket each member is
-    held against the smallest member; then members whose component is not the bucket's largest
-    are held against all members of other components. Pairs pass the sketch before their full
-    sets are compared. No words: no links. Null ids take part as copies only; rows that share an
-    id are one document; other columns are ignored; an empty table gives no rows.
+    Equal sets form one class. In every band bucket each class is held against the smallest one;
+    then buckets that still hold several components take a class outside the largest one as the
+    next middle, a few times over, so that groups without a common middle come together; at last
+    the classes outside the largest component of a bucket are held against those of all other
+    components. Pairs pass both sketches before their full sets are compared.
+
+    No words: no links. Rows are told apart by their sets, so rows with one id keep their own
+    links; a component is named by its smallest id, null ids last (null where all are). Other
+    columns are ignored; an empty table gives no rows.
     """
     limit = parity_limit(percent, bands * rows)
     table = materialize(features(docs, bands, rows))
     classes = materialize(table.where("n_shingles > 0").groupBy("digest").agg(
-        F.min("doc_id").alias("doc_id"), F.count("*").alias("copies")))
-    one = materialize(table.join(classes.select("digest", "doc_id"), ["digest", "doc_id"]).select(
-        "doc_id", F.col("n_shingles").alias("n"), "odd", "bands").dropDuplicates(["doc_id"]))
-    spread = one.select("doc_id", F.explode("bands").alias("key"))
-    buckets = spread.groupBy("key").agg(F.min("doc_id").alias("center"), F.count("*").alias("m"))
-    members = materialize(spread.join(buckets.where("m > 1"), "key"))
+        F.min("doc_id").alias("doc_id"), F.count("*").alias("copies")).withColumn(
+        "g", F.monotonically_increasing_id()))
+    first = classes.select(F.col("digest").alias("_digest"), F.col("doc_id").alias("_id"), "g")
+    one = materialize(table.join(first, (F.col("digest") == F.col("_digest")) & F.col("doc_id").eqNullSafe(
+        F.col("_id"))).select("g", F.col("n_shingles").alias("n"), "odd", "whole", "bands").dropDuplicates(["g"]))
+    spread = one.select("g", F.explode("bands").alias("key"))
+    buckets = spread.groupBy("key").agg(F.min("g").alias("center"), F.count("*").alias("m"))
+    members = materialize(spread.join(buckets.where("m > 1"), "key").drop("m"))
     sketches = one.drop("bands")
 
-    def filtered(pairs: DataFrame) -> DataFrame:
+    def proved(pairs: DataFrame) -> DataFrame:
         a, b = sketches.alias("a"), sketches.alias("b")
-        return pairs.alias("p").join(a, F.col("p.a") == F.col("a.doc_id")).join(
-            b, F.col("p.b") == F.col("b.doc_id")).where(_alike(percent, limit)).select("p.a", "p.b")
-
-    stars = members.where("doc_id <> center").select(
-        F.col("center").alias("a"), F.col("doc_id").alias("b")).distinct()
-    proved = _proved(docs, materialize(filtered(stars)), percent)
-    labels = components(proved)
-
-    known = members.join(labels, F.col("doc_id") == F.col("node"), "left").select(
-        "key", "doc_id", F.coalesce("component", "doc_id").alias("c"))
-    counted = known.groupBy("key", "c").agg(F.count("*").alias("n"))
-    mixed = counted.groupBy("key").agg(F.max_by("c", F.struct("n", "c")).alias("main"),
-                                       F.count("*").alias("k")).where("k > 1").drop("k")
-    mixed = materialize(known.join(mixed, "key").join(sketches, "doc_id"))
-    a, b = mixed.where("c <> main").alias("a"), mixed.alias("b")
+        kept = pairs.distinct().alias("p").join(a, F.col("p.a") == F.col("a.g")).join(
+            b, F.col("p.b") == F.col("b.g")).where(_alike(percent, limit)).select("p.a", "p.b")
+        return _settled(lambda: _proved(docs, classes, materialize(kept), percent))
+
+    def mixed() -> DataFrame:
+        """Members of the buckets that hold several components, with the largest one of these."""
+        known = members.join(labels, F.col("g") == F.col("node"), "left").select(
+            "key", "g", F.coalesce("component", "g").alias("c"))
+        counted = known.groupBy("key", "c").agg(F.count("*").alias("n"))
+        main = counted.groupBy("key").agg(F.max_by("c", F.struct("n", "c")).alias("main"),
+                                          F.count("*").alias("k")).where("k > 1").drop("k")
+        return materialize(known.join(main, "key"))
+
+    edges = proved(members.where("g <> center").select(F.col("center").alias("a"), F.col("g").alias("b")))
+    labels = components(edges)
+    for turn in range(1, STAR_ROUNDS):
+        open_ = mixed()
+        middles = open_.where("c <> main").groupBy("key").agg(
+            F.min_by(F.struct("g", "c"), F.xxhash64("g", F.lit(turn))).alias("middle"))
+        more = proved(open_.join(middles, "key").where("c <> middle.c").select(
+            F.least("g", "middle.g").alias("a"), F.greatest("g", "middle.g").alias("b")))
+        if more.isEmpty():
+            break
+        edges = edges.unionByName(more)
+        labels = components(edges)
+
+    open_ = mixed().join(sketches, "g")
+    a, b = open_.where("c <> main").alias("a"), open_.alias("b")
     rest = a.join(b, (F.col("a.key") == F.col("b.key")) & (F.col("a.c") != F.col("b.c"))
-                  & ((F.col("b.c") == F.col("b.main")) | (F.col("a.doc_id") < F.col("b.doc_id")))
+                  & ((F.col("b.c") == F.col("b.main")) | (F.col("a.g") < F.col("b.g")))
                   & _alike(percent, limit))
-    rest = rest.select(F.least("a.doc_id", "b.doc_id").alias("a"),
-                       F.greatest("a.doc_id", "b.doc_id").alias("b")).distinct()
-    labels = components(proved.unionByName(_proved(docs, materialize(rest), percent)))
-
-    linked = materialize(classes.join(labels, F.col("doc_id") == F.col("node"), "left").where(
-        "copies > 1 or node is not null").select(
-        "digest", F.coalesce("component", "doc_id").alias("component_id")))
-    return table.select("doc_id", "n_shingles", "digest").join(linked, "digest", "left").select(
-        "doc_id", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id"))
+    rest = rest.select(F.least("a.g", "b.g").alias("a"), F.greatest("a.g", "b.g").alias("b")).distinct()
+    more = _settled(lambda: _proved(docs, classes, materialize(rest), percent))
+    if not more.isEmpty():
+        labels = components(edges.unionByName(more))
+
+    # The smallest class of a component is no node of ``labels``.
+    named = classes.join(labels, F.col("g") == F.col("node"), "left").select(
+        "digest", "doc_id", "copies", F.coalesce("component", "g").alias("c"))
+    least = named.groupBy("c").agg(F.min("doc_id").alias("component_id"), F.sum("copies").alias("n")).where("n > 1")
+    linked = materialize(named.select("digest", "c").join(least, "c").select("digest", "component_id"))
+    out = table.select("doc_id", "n_shingles", "digest").join(linked.withColumn("linked", F.lit(True)), "digest", "left")
+    return out.select("doc_id", "n_shingles", F.when(F.col("linked"), F.col("component_id")).otherwise(
+        F.col("doc_id")).alias("component_id"))
