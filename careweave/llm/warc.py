@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyarrow import fs
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from careweave.session import materialize, shared_dir
+from careweave.session import materialize, shared_dir, task_slots
 
 KEY_CHARACTERS = 1000
 BLOCK_LINES = 3000
@@ -332,7 +332,8 @@ def lookup(index: CaptureIndex, ranges: DataFrame) -> DataFrame:
                 names=["key", "file", "offset", "length"])
 
     routed = ranges.select("low", "high").mapInArrow(route, "shard int, low string, high string")
-    return routed.repartitionByRange("shard", "low").sortWithinPartitions("shard", "low").mapInArrow(
+    # A short row stands for much reading, so the number of parts doesn't follow the bytes.
+    return routed.repartitionByRange(task_slots(ranges.sparkSession), "shard", "low").sortWithinPartitions("shard", "low").mapInArrow(
         probe, "key string, file string, offset long, length long")
 
 
@@ -378,7 +379,8 @@ def fetch(index: CaptureIndex, captures: DataFrame, payloads: bool = True) -> Da
 
     # Parts of one file may be read by several tasks.
     part = F.floor(F.col("offset") / (8 * READ_BYTES))
-    placed = captures.select("file", "offset", "length").repartition("file", part)
+    placed = captures.select("file", "offset", "length").repartition(
+        task_slots(captures.sparkSession), "file", part)
     return placed.sortWithinPartitions("file", "offset").mapInArrow(run, schema)
 
 
