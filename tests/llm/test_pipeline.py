@@ -86,3 +86,25 @@ def test_stages_on_repeated_rows_null_ids_and_extra_columns(spark, sf):
     assert sum(len(r.text.split()) for r in out.collect()) == plan
     kept = corpus_pipeline.good_quality(spark, docs, sf)
     assert kept.columns == docs.columns and kept.count() <= len(rows)
+
+
+def test_cut_texts_stand_as_they_are(spark, sf):
+    """Line breaks, tabs and indentation inside a cut text stay; nothing is added."""
+    rng = random.Random(8)
+    seps = [" ", "\n", "\t", "  ", "\r\n    ", "\x0b"]
+    rows = [(i, "".join(w for k in range(rng.randrange(1, 60)) for w in (f"w{i}_{k}é", rng.choice(seps))),
+             "en", f"s{i % 3}", -7) for i in range(80)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    texts, cut = {r[0]: r[1] for r in rows}, 0
+    for r in corpus_pipeline.mixed(spark, docs, sf).collect():
+        assert r.text in texts[r.doc_id]
+        if r.text != texts[r.doc_id]:
+            cut += 1
+            assert r.n_chars == len(r.text) and r.text == r.text.strip(" \n\t\r\x0b") and r.text.split()
+    assert cut
+
+
+def test_stages_on_an_empty_table(spark, sf):
+    docs = spark.read.parquet(f"{sf}/documents.parquet").where("false")
+    for name, stage in corpus_pipeline.STAGES:
+        assert materialize(stage(spark, docs, sf)).count() == 0, name
