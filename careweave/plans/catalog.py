@@ -751,8 +751,9 @@ def model_properties(spark, d):
 # --- streams -------------------------------------------------------------------------
 
 def _message_stream(spark, d):
-    source = spark.readStream.schema(_table(spark, d, "conversations").schema).option(
-        "pathGlobFilter", "conversations.parquet").parquet(d)
+    # A pattern, which may name one file or a folder of part files; a filter on file names knows no folders.
+    source = spark.readStream.schema(_table(spark, d, "conversations").schema).parquet(
+        f"{d}/conversations.parque[t]")
     # One minute per turn from a fixed day (the given table has no clock).
     return tables.messages(source).withColumn("created_ts", F.timestamp_seconds(
         STREAM_START + F.col("created_at").cast("bigint") * 60))

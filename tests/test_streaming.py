@@ -110,3 +110,16 @@ def test_stream_scores_match_batch(spark, tmp_path):
     stream_scoring.stream_scores(
         asked(source), index, terms, target=target, checkpoint=str(tmp_path / "state2")).awaitTermination()
     assert stream_scoring.read_scores(spark, target).count() == 2
+
+
+def test_stream_queries_read_a_folder_of_part_files(spark, tmp_path, sf):
+    """A table may be one file or a folder; streams read the same messages from both."""
+    from careweave.plans import catalog
+
+    given = spark.read.parquet(f"{sf}/conversations.parquet")
+    given.repartition(3).write.parquet(str(tmp_path / "conversations.parquet"))
+    for name in ("stream_pairs", "stream_scores"):
+        whole = catalog.queries()[name](spark, sf)
+        parts = catalog.queries()[name](spark, str(tmp_path))
+        assert whole.count() > 0
+        assert sorted(parts.collect()) == sorted(whole.collect())
