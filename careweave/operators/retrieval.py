@@ -119,7 +119,7 @@ def load_search(spark, path: str, version: int | None = None) -> TextIndex:
         spark.sql(f"CREATE TABLE {name} ({spark.read.parquet(f'{here}/slices').schema.toDDL()}) USING parquet "
                   f"OPTIONS (path '{place}') CLUSTERED BY (slice) SORTED BY (slice) INTO {row['buckets']} BUCKETS")
     return TextIndex(spark.table(name), spark.read.parquet(f"{here}/directory"),
-                     spark.read.parquet(f"{here}/champions"), row["n_cases"])
+                     spark.read.parquet(f"{here}/champions"), row["n_cases"], bucketed=True)
 
 
 # --- joins -----------------------------------------------------------------------

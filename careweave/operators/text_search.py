@@ -5,9 +5,9 @@ slice, and a list of champions the cases with the largest weights of every term.
 gets a lower bound of its k-th score from the champions of its heaviest terms. Its lightest terms
 together can't reach that bound, so a case without one of the others (the essential ones) is out:
 the query goes only to slices whose largest weights of essential terms can reach the bound. There
-the partial sums over essential terms give a running k-th score, and only cases that can still
-pass it get their full score. Common terms are light, so they seldom open a candidate; no term is
-ever left out of a score, and a term's postings are split by slices.
+scores in single precision tell which cases are near the bound and the k-th score of the slice,
+and only those get their full score. Terms that many pairs share go through a matrix product, the
+others by their postings; no term is ever left out of a score.
 """
 
 from __future__ import annotations
@@ -18,11 +18,13 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
 from careweave.operators.blocks import block_join, list_schema, once, ranked
-from careweave.session import materialize
+from careweave.session import materialize, task_slots
 
-SLICE_ROWS = 16_384
+SLICE_ROWS = 65_536
 SLICE_ENTRIES = 2_000_000
-QUERY_ROWS = 65_536
+QUERY_ROWS = 16_384
+# Fewer queries than this do not pay for a copy of a slice.
+LEAST_QUERY_ROWS = 2_048
 CHAMPIONS = 16
 ANCHORS = 4
 POOL_ROWS = 4096
@@ -33,12 +35,14 @@ ROUNDING = 1e-4
 @dataclass(frozen=True)
 class TextIndex:
     """``cases``: slice, case_id, ids, vec, m1..m3, pid; ``directory``: term, slice, top;
-    ``champions``: term, weight and masks of the cases with the largest weights of a term."""
+    ``champions``: term, weight and masks of the cases with the largest weights of a term;
+    ``bucketed``: the cases are a stored table in buckets by slice."""
 
     cases: DataFrame
     directory: DataFrame
     champions: DataFrame
     n_cases: int
+    bucketed: bool = False
 
 
 def entries(ids: Column, weights: Column) -> Column:
@@ -135,13 +139,16 @@ def routes(queries: DataFrame, index: TextIndex) -> DataFrame:
         bound.alias("bound")).where("bound >= floor").select("query_id", "slice")
 
 
-def kernel(k: int, *, pruned: bool, substring: bool = False, cells: int = 1 << 19,
-           budget: int = 4_000_000) -> Callable:
+def kernel(k: int, *, pruned: bool, substring: bool = False, cells: int = 1 << 22,
+           budget: int = 1 << 20, dense_share: float = 0.006, dense_terms: int = 256) -> Callable:
     """Arrow function over queries and cases of one slice; nested so that it ships by value.
 
     Queries go through in batches whose posting entries and cells stay within bounds; a batch is
-    a handful of array operations. ``pruned`` lists hold cases with a score above 0 only, and
-    ``scored``, how many cases of the slice got their full score; others hold every case.
+    a handful of array operations. Terms that more than ``dense_share`` of all pairs have in common
+    (at most ``dense_terms``) are one matrix product, the others go by their postings; both in
+    single precision, which decides for which cases the score is computed again in full. ``pruned``
+    lists hold cases with a score above 0 only, and ``scored``, how many cases of the slice got
+    their full score; others hold every case.
     """
     rounding = ROUNDING
 
@@ -162,7 +169,7 @@ def kernel(k: int, *, pruned: bool, substring: bool = False, cells: int = 1 << 1
 
         def rows(column):
             column = column.combine_chunks()
-            return np.diff(column.offsets.to_numpy()), column.flatten().to_numpy()
+            return np.diff(column.offsets.to_numpy()).astype(np.int64), column.flatten().to_numpy()
 
         def spans(starts, lengths):
             """All positions of the given runs, one after another."""
@@ -172,9 +179,31 @@ def kernel(k: int, *, pruned: bool, substring: bool = False, cells: int = 1 << 1
         case_len, case_term = rows(right["ids"])
         case_weight = rows(right["vec"])[1]
         case_start = np.cumsum(case_len) - case_len
-        order = np.argsort(case_term, kind="stable")
-        post_term, post_weight = case_term[order], case_weight[order]
-        post_case = np.repeat(np.arange(n), case_len)[order]
+        # Terms are numbered as the slice has them; what only the queries have adds nothing.
+        known, case_term = np.unique(case_term, return_inverse=True)
+        width = len(known)
+        q_len, q_term = rows(left["ids"])
+        q_weight = rows(left["vec"])[1]
+        q_row = np.repeat(np.arange(n_query), q_len)
+        at = np.minimum(np.searchsorted(known, q_term), max(width - 1, 0))
+        has = known[at] == q_term if width else np.zeros(len(q_term), bool)
+        q_row, q_term, q_weight = q_row[has], at[has], q_weight[has]
+        q_start = np.searchsorted(q_row, np.arange(n_query + 1))
+
+        common = np.bincount(case_term, minlength=width) * np.bincount(q_term, minlength=width).astype(float)
+        dense = np.flatnonzero(common > dense_share * n * n_query) if pruned else np.empty(0, np.int64)
+        dense = dense[np.argsort(-common[dense], kind="stable")[:dense_terms]]
+        place = np.full(width, -1)
+        place[dense] = np.arange(len(dense))
+        case_matrix = np.zeros((len(dense), n), np.float32)
+        case_row = np.repeat(np.arange(n), case_len)
+        heavy = place[case_term] >= 0
+        case_matrix[place[case_term[heavy]], case_row[heavy]] = case_weight[heavy]
+        order = np.flatnonzero(~heavy)
+        order = order[np.argsort(case_term[order], kind="stable")]
+        post_case, post_weight = case_row[order], case_weight[order]
+        post_end = np.cumsum(np.bincount(case_term[order], minlength=width))
+        post_count = np.diff(post_end, prepend=0)
 
         by_key = {}
         for column in ("m1", "m2", "m3"):
@@ -186,56 +215,52 @@ def kernel(k: int, *, pruned: bool, substring: bool = False, cells: int = 1 << 1
         q_ids = left["qid"].to_pylist() if substring else None
         pair_ids = [x or "" for x in right["pid"].to_pylist()] if substring else None
 
-        q_len, q_term = rows(left["ids"])
-        q_weight = rows(left["vec"])[1]
-        q_row = np.repeat(np.arange(n_query), q_len)
-        by_weight = np.lexsort((q_term, q_weight, q_row))
-        q_term, q_weight = q_term[by_weight].astype(np.int64), q_weight[by_weight]
-        place = np.arange(len(q_row)) - np.repeat(np.cumsum(q_len) - q_len, q_len)
-        if pruned:
-            skip, rest, floor = (left[c].to_numpy() for c in ("skip", "rest", "floor"))
-        else:
-            skip, rest, floor = np.zeros(n_query, np.int64), np.zeros(n_query), np.zeros(n_query)
-        light = place < skip[q_row]
-        e_row, e_term, e_weight = q_row[~light], q_term[~light], q_weight[~light]
-        width = np.int64(max(q_term.max(initial=0), case_term.max(initial=0)) + 1)
-        light_key = q_row[light] * width + q_term[light]
-        by_key_order = np.argsort(light_key)
-        light_key, light_weight = light_key[by_key_order], q_weight[light][by_key_order]
-
-        first = np.searchsorted(post_term, e_term, "left")
-        count = np.searchsorted(post_term, e_term, "right") - first
-        cost = np.concatenate([[0], np.cumsum(np.bincount(e_row, count, n_query))])
+        floor = left["floor"].to_numpy() if pruned else np.zeros(n_query)
+        # What single precision can be off by, on both sides of a comparison.
+        margin = rounding + 4e-7 * (q_len + 1)
+        e_count = post_count[q_term] * (place[q_term] < 0)
+        cost = np.concatenate([[0], np.cumsum(e_count)])[q_start]
         found_q, found_c, found_s, found_n = [], [], [], []
         start = 0
         while start < n_query:
-            end = min(start + max(1, cells // n), int(np.searchsorted(cost, cost[start] + budget, "right")) - 1)
+            end = min(start + max(1, cells // max(n, width)),
+                      int(np.searchsorted(cost, cost[start] + budget, "right")) - 1)
             end = min(max(end, start + 1), n_query)
-            a, b = np.searchsorted(e_row, [start, end])
-            at = spans(first[a:b], count[a:b])
-            cell = np.repeat(e_row[a:b] - start, count[a:b]) * n + post_case[at]
-            total = np.bincount(cell, np.repeat(e_weight[a:b], count[a:b]) * post_weight[at],
-                                (end - start) * n).reshape(end - start, n)
+            a, b = q_start[start], q_start[end]
+            row, term, weight = q_row[a:b] - start, q_term[a:b], q_weight[a:b]
+            count = e_count[a:b]
+            at = spans(post_end[term] - post_count[term], count)
+            cell = np.repeat(row * n, count) + post_case[at]
+            add = np.repeat(weight, count) * post_weight[at]
+            if pruned:
+                heavy = place[term] >= 0
+                query_matrix = np.zeros((end - start, len(dense)), np.float32)
+                query_matrix[row[heavy], place[term[heavy]]] = weight[heavy]
+                total = query_matrix @ case_matrix
+                np.add.at(total.reshape(-1), cell, add.astype(np.float32))
+            else:
+                total = np.bincount(cell, add, (end - start) * n).reshape(end - start, n)
+            low = floor[start:end] - margin[start:end]
             for i in range(start, end):
                 for value in own_masks[i]:
                     if value and value in by_key:
                         total[i - start, by_key[value]] = -1.0
                 if substring and q_ids[i]:
-                    near = np.flatnonzero(total[i - start] > 0) if pruned else range(n)
+                    near = np.flatnonzero((total[i - start] > 0) & (total[i - start] >= low[i - start])) if pruned else range(n)
                     total[i - start, [j for j in near if q_ids[i] in pair_ids[j]]] = -1.0
             if pruned:
                 kth = np.partition(total, n - k, axis=1)[:, n - k] if n > k else np.zeros(end - start)
-                least = np.maximum(floor[start:end], kth - rounding)
-                q, c = np.nonzero((total > 0) & (total + rest[start:end, None] >= least[:, None]))
-                score = total[q, c]
-                some = np.flatnonzero(skip[start + q] > 0)
-                for part in np.array_split(some, -(-int(case_len[c[some]].sum()) // budget) or 1):
+                least = np.maximum(low, kth - margin[start:end])
+                # The comparison stays in single precision; the margin covers the rounding of the bound.
+                q, c = np.divmod(np.flatnonzero(total >= np.maximum(least, 1e-30).astype(np.float32)[:, None]), n)
+                score = np.empty(len(q))
+                full = np.zeros((end - start, width))
+                full[row, term] = weight
+                for part in np.array_split(np.arange(len(q)), -(-int(case_len[c].sum()) // budget) or 1):
                     lengths = case_len[c[part]]
                     at = spans(case_start[c[part]], lengths)
-                    key = np.repeat(start + q[part], lengths) * width + case_term[at]
-                    hit = np.minimum(np.searchsorted(light_key, key), len(light_key) - 1)
-                    add = np.where(light_key[hit] == key, light_weight[hit] * case_weight[at], 0.0)
-                    score[part] += np.bincount(np.repeat(np.arange(len(part)), lengths), add, len(part))
+                    add = full[np.repeat(q[part], lengths), case_term[at]] * case_weight[at]
+                    score[part] = np.bincount(np.repeat(np.arange(len(part)), lengths), add, len(part))
                 number = np.bincount(q, minlength=end - start)
                 score = np.round(score, 4)
                 q, c, score = (x[score > 0] for x in (q, c, score))
@@ -265,16 +290,24 @@ def pruned_lists(queries: DataFrame, index: TextIndex, k: int, substring: bool =
                  query_rows: int = QUERY_ROWS) -> DataFrame:
     """(query_id, case_id, similarity_score, scored) from every slice a query was sent to.
 
-    Only queries move: cases are grouped by their slice, as a stored index is bucketed. A slice
-    that many queries ask for is copied for every ``query_rows`` of them.
+    Where the layout of a stored index can serve the join, only queries move: cases are grouped by
+    their slice, as the index is bucketed. Else both sides are dealt out by slice and chunk. A slice
+    that many queries ask for is copied for every ``query_rows`` of them, or for fewer where that
+    is what it takes to occupy the tasks.
     """
-    sent = materialize(routes(queries, index))
+    spark = index.cases.sparkSession
+    sent, slots = materialize(routes(queries, index)), task_slots(spark)
+    query_rows = min(query_rows, max(LEAST_QUERY_ROWS, sent.count() // (2 * slots)))
     chunks = sent.groupBy("slice").agg(F.ceil(F.count("*") / query_rows).cast("int").alias("chunks"))
     left = sent.join(chunks, "slice").withColumn(
         "chunk", F.pmod(F.xxhash64("query_id"), F.col("chunks")).cast("int")).drop("chunks").join(
         queries.drop("entries"), "query_id")
     right = index.cases.join(chunks, "slice").withColumn(
         "chunk", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1))).drop("chunks")
+    if not (index.bucketed and spark.conf.get("spark.sql.requireAllClusterKeysForCoPartition") == "false"):
+        # Costly per row: tasks by their number, not by their bytes.
+        groups = chunks.agg(F.sum("chunks")).head()[0] or 0
+        left, right = (df.repartition(min(max(groups, slots), 8 * slots), "slice", "chunk") for df in (left, right))
     schema = list_schema(queries, index.cases, T.StructField("scored", T.LongType()))
     return left.groupBy("slice", "chunk").cogroup(right.groupBy("slice", "chunk")).applyInArrow(
         kernel(k, pruned=True, substring=substring), schema)

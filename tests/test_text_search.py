@@ -111,6 +111,21 @@ def test_few_pairs_are_scored(spark):
     assert asked.where("skip > 0").count() > 0.2 * n
 
 
+def test_a_slice_is_dealt_to_many_tasks(spark, index, monkeypatch):
+    """The lists of few slices come from as many tasks as there are parts, however few bytes they have."""
+    index, terms = index
+    monkeypatch.setattr(text_search, "LEAST_QUERY_ROWS", 8, raising=False)
+    cases = retrieval._text_cases(index, "pair_id", "weights", "term_ids", (), None)
+    tables = text_search.prepare(cases)
+    left = retrieval.side(index, "pair_id", "weights", "term_ids", "query", []).withColumns({
+        "qid": F.lit(None).cast("string"), "entries": text_search.entries(F.col("ids"), F.col("vec"))})
+    asked = text_search.with_floors(left, tables, 3).cache()
+    lists = text_search.pruned_lists(asked, tables, 3)
+    assert lists.select(F.spark_partition_id().alias("task")).distinct().count() > 2
+    scored = lists.groupBy("query_id").agg(F.max("scored").alias("n")).agg(F.sum("n")).head()[0]
+    assert scored < 0.5 * index.count() ** 2
+
+
 def test_floor_never_exceeds_the_kth_score(index):
     index, terms = index
     cases = retrieval._text_cases(index, "pair_id", "weights", "term_ids",
