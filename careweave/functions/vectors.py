@@ -18,6 +18,19 @@ def l2_normalize(vector: Column) -> Column:
     return F.transform(vector, lambda x: x / safe)
 
 
+def l2_normalize_long(vector: Column) -> Column:
+    """``l2_normalize`` for vectors of many elements.
+
+    The length is bound as the value of a one-element array: as a plain expression it is worked out
+    again for every element. Not below a Python function, which Spark can't take out of it.
+    """
+    def scaled(length: Column) -> Column:
+        safe = F.when(length == 0, F.lit(fv.ZERO_NORM)).otherwise(length)
+        return F.transform(vector, lambda x: x / safe)
+
+    return F.element_at(F.transform(F.array(norm(vector)), scaled), 1)
+
+
 def argmax(vector: Column) -> Column:
     """Position (from 0) of the first largest element."""
     return (F.array_position(vector, F.array_max(vector)) - 1).cast("int")

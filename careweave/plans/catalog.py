@@ -17,7 +17,7 @@ from careweave.operators import (
     reply_evaluation, retrieval, routing, rubric, summary, trust,
 )
 from careweave.plans import evaluation, scoring
-from careweave.session import materialize, shared_dir
+from careweave.session import materialize, shared_dir, spread
 from careweave.sources import generators, messages as msg, store, tables
 from careweave.streaming import pairing as stream_pairing, scoring as stream_scoring
 
@@ -690,7 +690,7 @@ def majority_baseline(spark, d):
 
 @query
 def tfidf_lr(spark, d):
-    train, golden = _labelled_split(spark, d)
+    train, golden = map(spread, _labelled_split(spark, d))
     return models.fit_tfidf(train, max_iter=50).predict(golden).select(
         "doc_id", "gold_intent", "predicted_intent", py_round("confidence", 4).alias("confidence"))
 
@@ -706,11 +706,15 @@ def embedding_lr(spark, d):
 
 
 def _hashed(df):
-    """Unit vectors of the texts by feature hashing, where there is no sentence encoder."""
-    words = df.withColumn("_words", tx.words(F.col("customer_clean_text")))
+    """Unit vectors of the texts by feature hashing, where there is no sentence encoder.
+
+    Written once, since fitting reads them several times.
+    """
+    words = spread(df).withColumn("_words", tx.words(F.col("customer_clean_text")))
     counted = HashingTF(numFeatures=TEXT_DIMS, inputCol="_words", outputCol="_tf").transform(words)
-    return counted.withColumn(
-        "embedding", vec.l2_normalize(vector_to_array("_tf"))).drop("_words", "_tf")
+    counts = vec.l2_normalize_long(F.col("_counts"))
+    return materialize(counted.withColumn("_counts", vector_to_array("_tf")).withColumn("embedding", counts).drop(
+        "_words", "_tf", "_counts"))
 
 
 @query

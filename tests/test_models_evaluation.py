@@ -142,3 +142,17 @@ def test_long_metrics(spark):
     df = spark.createDataFrame([("a", 1, 2.5), ("b", 3, 4.5)], "s string, x int, y double")
     rows = {tuple(r) for r in long_metrics(df, "c", ["x", "y"], "s").collect()}
     assert rows == {("c", "a", "x", 1.0), ("c", "a", "y", 2.5), ("c", "b", "x", 3.0), ("c", "b", "y", 4.5)}
+
+
+def test_hashed_vectors_are_written_once(spark):
+    """Fitting reads them several times; the long form of the unit vectors has the same values."""
+    from careweave.functions import vectors as vec
+    from careweave.plans import catalog
+
+    df = spark.createDataFrame([(1, "one two two"), (2, ""), (3, None)], "doc_id int, customer_clean_text string")
+    got = catalog._hashed(df)
+    assert got.inputFiles() and got.count() == 3
+    assert all(sum(x * x for x in r["embedding"]) == pytest.approx(r["doc_id"] == 1) for r in got.collect())
+    rows = spark.createDataFrame([([3.0, 4.0],), ([0.0, 0.0],), ([0.1, 0.7, 0.3],), ([],), (None,), ([1.0, None],)], "v array<double>")
+    both = rows.select(vec.l2_normalize(F.col("v")).alias("a"), vec.l2_normalize_long(F.col("v")).alias("b")).collect()
+    assert [r["a"] for r in both] == [r["b"] for r in both]
