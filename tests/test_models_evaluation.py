@@ -152,7 +152,7 @@ def test_hashed_vectors_are_written_once(spark):
     df = spark.createDataFrame([(1, "one two two"), (2, ""), (3, None)], "doc_id int, customer_clean_text string")
     got = catalog._hashed(df)
     assert got.inputFiles() and got.count() == 3
-    assert all(sum(x * x for x in r["embedding"]) == pytest.approx(r["doc_id"] == 1) for r in got.collect())
+    assert all(sum(x * x for x in r["embedding"]) == pytest.approx(float(r["doc_id"] == 1)) for r in got.collect())
     rows = spark.createDataFrame([([3.0, 4.0],), ([0.0, 0.0],), ([0.1, 0.7, 0.3],), ([],), (None,), ([1.0, None],)], "v array<double>")
     both = rows.select(vec.l2_normalize(F.col("v")).alias("a"), vec.l2_normalize_long(F.col("v")).alias("b")).collect()
     assert [r["a"] for r in both] == [r["b"] for r in both]
