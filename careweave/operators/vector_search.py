@@ -24,7 +24,12 @@ _MARGIN = 1e-4
 
 
 def kernel(k: int) -> Callable:
-    """Arrow function over one query block and one case block; nested so it ships by value."""
+    """Arrow function over one query block and one case block; nested so it ships by value.
+
+    Products in single precision decide which cases can be among the best k; only those get their
+    score in double precision.
+    """
+    rounding = _MARGIN
 
     def run(left, right):
         import numpy as np
@@ -56,24 +61,31 @@ def kernel(k: int) -> Callable:
                     by_key.setdefault(value, []).append(i)
         by_key = {value: np.array(found) for value, found in by_key.items()}
         masks = list(zip(*(left[c].to_pylist() for c in ("m1", "m3"))))
+        q_single, c_single = q_matrix.astype(np.float32), np.ascontiguousarray(c_matrix.T, np.float32)
+        # What rounding to 4 places and single precision can make of two scores.
+        longest = [np.linalg.norm(x, axis=1).max(initial=1.0) for x in (q_matrix, c_matrix)]
+        margin = np.float32(rounding + 4e-7 * (dim + 1) * longest[0] * longest[1])
         found_q, found_c, found_s = [], [], []
         step = max(1, (1 << 21) // n)
         for start in range(0, len(masks), step):
-            score = np.round(np.maximum(q_matrix[start:start + step] @ c_matrix.T, 0.0), 4)
+            near = np.maximum(q_single[start:start + step] @ c_single, np.float32(0))
             for i, values in enumerate(masks[start:start + step]):
                 for value in values:
                     if value and value in by_key:
-                        score[i, by_key[value]] = -1.0
+                        near[i, by_key[value]] = -1.0
             # The k-th best score: fewer than k cases lie above it, ties come in id order.
-            kth = np.partition(score, n - k, axis=1)[:, n - k] if n > k else np.zeros(len(score))
-            q, c = np.nonzero(score >= np.maximum(kth, 0.0)[:, None])
-            best = np.lexsort((c, -score[q, c], q))
-            q, c = q[best], c[best]
+            kth = np.partition(near, n - k, axis=1)[:, n - k] if n > k else np.zeros(len(near), np.float32)
+            q, c = np.divmod(np.flatnonzero(near >= np.maximum(kth - margin, np.float32(0))[:, None]), n)
+            score = np.empty(len(q))
+            for part in np.array_split(np.arange(len(q)), -(-len(q) * dim // (1 << 21)) or 1):
+                score[part] = np.einsum("ij,ij->i", q_matrix[start + q[part]], c_matrix[c[part]])
+            score = np.round(np.maximum(score, 0.0), 4)
+            best = np.lexsort((c, -score, q))
+            q, c, score = q[best], c[best], score[best]
             keep = np.arange(len(q)) - np.searchsorted(q, q, "left") < k
-            q, c = q[keep], c[keep]
-            found_q.append(start + q)
-            found_c.append(c)
-            found_s.append(score[q, c])
+            found_q.append(start + q[keep])
+            found_c.append(c[keep])
+            found_s.append(score[keep])
         return pa.table([left["query_id"].take(pa.array(np.concatenate(found_q))),
                          right["case_id"].take(pa.array(np.concatenate(found_c))),
                          np.concatenate(found_s)], schema=out_schema)
