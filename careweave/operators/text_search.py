@@ -24,7 +24,7 @@ SLICE_ROWS = 65_536
 SLICE_ENTRIES = 2_000_000
 QUERY_ROWS = 16_384
 # Fewer queries than this do not pay for a copy of a slice.
-LEAST_QUERY_ROWS = 2_048
+LEAST_QUERY_ROWS = 4_096
 CHAMPIONS = 16
 ANCHORS = 4
 POOL_ROWS = 4096
@@ -139,16 +139,17 @@ def routes(queries: DataFrame, index: TextIndex) -> DataFrame:
         bound.alias("bound")).where("bound >= floor").select("query_id", "slice")
 
 
-def kernel(k: int, *, pruned: bool, substring: bool = False, cells: int = 1 << 22,
-           budget: int = 1 << 20, dense_share: float = 0.006, dense_terms: int = 256) -> Callable:
+def kernel(k: int, *, pruned: bool, substring: bool = False, cells: int = 1 << 21,
+           budget: int = 1 << 20, dense_share: float = 0.012, dense_terms: int = 256) -> Callable:
     """Arrow function over queries and cases of one slice; nested so that it ships by value.
 
-    Queries go through in batches whose posting entries and cells stay within bounds; a batch is
-    a handful of array operations. Terms that more than ``dense_share`` of all pairs have in common
-    (at most ``dense_terms``) are one matrix product, the others go by their postings; both in
-    single precision, which decides for which cases the score is computed again in full. ``pruned``
-    lists hold cases with a score above 0 only, and ``scored``, how many cases of the slice got
-    their full score; others hold every case.
+    Queries go through in batches whose posting entries and cells stay within bounds. Terms that
+    more than ``dense_share`` of all pairs have in common (at most ``dense_terms``) are one matrix
+    product for a batch; the others are added to the query's row of it, one posting list after
+    another, while that row lies in the cache. Both are in single precision, which decides for which
+    cases the score is computed again in full: the k-th is looked for among those near the floor
+    only. ``pruned`` lists hold cases with a score above 0 only, and ``scored``, how many cases of
+    the slice got their full score; others hold every case.
     """
     rounding = ROUNDING
 
@@ -204,13 +205,13 @@ def kernel(k: int, *, pruned: bool, substring: bool = False, cells: int = 1 << 2
         post_case, post_weight = case_row[order], case_weight[order]
         post_end = np.cumsum(np.bincount(case_term[order], minlength=width))
         post_count = np.diff(post_end, prepend=0)
+        post_single = post_weight.astype(np.float32)
 
         by_key = {}
         for column in ("m1", "m2", "m3"):
             for i, value in enumerate(right[column].to_pylist()):
                 if value:
                     by_key.setdefault(value, []).append(i)
-        by_key = {value: np.array(found) for value, found in by_key.items()}
         own_masks = list(zip(*(left[c].to_pylist() for c in ("m1", "m3"))))
         q_ids = left["qid"].to_pylist() if substring else None
         pair_ids = [x or "" for x in right["pid"].to_pylist()] if substring else None
@@ -221,6 +222,7 @@ def kernel(k: int, *, pruned: bool, substring: bool = False, cells: int = 1 << 2
         e_count = post_count[q_term] * (place[q_term] < 0)
         cost = np.concatenate([[0], np.cumsum(e_count)])[q_start]
         found_q, found_c, found_s, found_n = [], [], [], []
+        buffer = np.empty(0, np.float32)
         start = 0
         while start < n_query:
             end = min(start + max(1, cells // max(n, width)),
@@ -229,30 +231,51 @@ def kernel(k: int, *, pruned: bool, substring: bool = False, cells: int = 1 << 2
             a, b = q_start[start], q_start[end]
             row, term, weight = q_row[a:b] - start, q_term[a:b], q_weight[a:b]
             count = e_count[a:b]
-            at = spans(post_end[term] - post_count[term], count)
-            cell = np.repeat(row * n, count) + post_case[at]
-            add = np.repeat(weight, count) * post_weight[at]
             if pruned:
                 heavy = place[term] >= 0
                 query_matrix = np.zeros((end - start, len(dense)), np.float32)
                 query_matrix[row[heavy], place[term[heavy]]] = weight[heavy]
-                total = query_matrix @ case_matrix
-                np.add.at(total.reshape(-1), cell, add.astype(np.float32))
+                if len(buffer) < (end - start) * n:
+                    buffer = np.empty((end - start) * n, np.float32)
+                total = buffer[:(end - start) * n].reshape(end - start, n)
+                np.matmul(query_matrix, case_matrix, out=total)
+                light = np.flatnonzero(count)
+                until = post_end[term[light]].tolist()
+                lists = list(zip((post_end[term[light]] - count[light]).tolist(), until,
+                                 weight[light].astype(np.float32)))
+                edges = np.searchsorted(row[light], np.arange(end - start + 1)).tolist()
+                # The comparison stays in single precision; the margin covers the rounding of the bound.
+                low = np.maximum(floor[start:end] - margin[start:end], 1e-30).astype(np.float32)
+                near = []
+                for i in range(start, end):
+                    line = total[i - start]
+                    for first, last, w in lists[edges[i - start]:edges[i - start + 1]]:
+                        line[post_case[first:last]] += w * post_single[first:last]
+                    for value in own_masks[i]:
+                        if value and value in by_key:
+                            line[by_key[value]] = -1.0
+                    hit = np.flatnonzero(line >= low[i - start])
+                    if substring and q_ids[i]:
+                        hit = hit[[q_ids[i] not in pair_ids[j] for j in hit]] if len(hit) else hit
+                    if len(hit) > k:
+                        value = line[hit]
+                        kth = np.partition(value, len(hit) - k)[len(hit) - k]
+                        hit = hit[value >= kth - np.float32(margin[i])]
+                    near.append(hit)
+                q = np.repeat(np.arange(end - start), [len(hit) for hit in near])
+                c = np.concatenate(near)
             else:
+                at = spans(post_end[term] - post_count[term], count)
+                cell = np.repeat(row * n, count) + post_case[at]
+                add = np.repeat(weight, count) * post_weight[at]
                 total = np.bincount(cell, add, (end - start) * n).reshape(end - start, n)
-            low = floor[start:end] - margin[start:end]
-            for i in range(start, end):
-                for value in own_masks[i]:
-                    if value and value in by_key:
-                        total[i - start, by_key[value]] = -1.0
-                if substring and q_ids[i]:
-                    near = np.flatnonzero((total[i - start] > 0) & (total[i - start] >= low[i - start])) if pruned else range(n)
-                    total[i - start, [j for j in near if q_ids[i] in pair_ids[j]]] = -1.0
+                for i in range(start, end):
+                    for value in own_masks[i]:
+                        if value and value in by_key:
+                            total[i - start, by_key[value]] = -1.0
+                    if substring and q_ids[i]:
+                        total[i - start, [j for j in range(n) if q_ids[i] in pair_ids[j]]] = -1.0
             if pruned:
-                kth = np.partition(total, n - k, axis=1)[:, n - k] if n > k else np.zeros(end - start)
-                least = np.maximum(low, kth - margin[start:end])
-                # The comparison stays in single precision; the margin covers the rounding of the bound.
-                q, c = np.divmod(np.flatnonzero(total >= np.maximum(least, 1e-30).astype(np.float32)[:, None]), n)
                 score = np.empty(len(q))
                 full = np.zeros((end - start, width))
                 full[row, term] = weight
@@ -290,10 +313,11 @@ def pruned_lists(queries: DataFrame, index: TextIndex, k: int, substring: bool =
                  query_rows: int = QUERY_ROWS) -> DataFrame:
     """(query_id, case_id, similarity_score, scored) from every slice a query was sent to.
 
-    Where the layout of a stored index can serve the join, only queries move: cases are grouped by
-    their slice, as the index is bucketed. Else both sides are dealt out by slice and chunk. A slice
-    that many queries ask for is copied for every ``query_rows`` of them, or for fewer where that
-    is what it takes to occupy the tasks.
+    A slice that many queries ask for is copied for every ``query_rows`` of them, or for fewer where
+    that is what it takes to occupy the tasks. Where no slice is copied and the layout of a stored
+    index can serve the join, only queries move: cases are grouped by their slice, as the index is
+    bucketed. Else both sides are dealt out by slice and chunk; the layout would leave all chunks
+    of a slice to one task.
     """
     spark = index.cases.sparkSession
     sent, slots = materialize(routes(queries, index)), task_slots(spark)
@@ -304,9 +328,10 @@ def pruned_lists(queries: DataFrame, index: TextIndex, k: int, substring: bool =
         queries.drop("entries"), "query_id")
     right = index.cases.join(chunks, "slice").withColumn(
         "chunk", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1))).drop("chunks")
-    if not (index.bucketed and spark.conf.get("spark.sql.requireAllClusterKeysForCoPartition") == "false"):
+    groups, most = chunks.agg(F.coalesce(F.sum("chunks"), F.lit(0)), F.coalesce(F.max("chunks"), F.lit(0))).head()
+    in_place = index.bucketed and spark.conf.get("spark.sql.requireAllClusterKeysForCoPartition") == "false"
+    if not (in_place and most <= 1):
         # Costly per row: tasks by their number, not by their bytes.
-        groups = chunks.agg(F.sum("chunks")).head()[0] or 0
         left, right = (df.repartition(min(max(groups, slots), 8 * slots), "slice", "chunk") for df in (left, right))
     schema = list_schema(queries, index.cases, T.StructField("scored", T.LongType()))
     return left.groupBy("slice", "chunk").cogroup(right.groupBy("slice", "chunk")).applyInArrow(

@@ -126,6 +126,21 @@ def test_a_slice_is_dealt_to_many_tasks(spark, index, monkeypatch):
     assert scored < 0.5 * index.count() ** 2
 
 
+def test_a_stored_slice_is_dealt_to_many_tasks(spark, index, tmp_path, monkeypatch):
+    """Many queries of a stored index do not wait for one task per slice; the lists stay the same."""
+    index, terms = index
+    retrieval.save_index(index, str(tmp_path / "index"), terms, buckets=2)
+    tables = retrieval.load_search(spark, str(tmp_path / "index"))
+    want = as_lists(retrieve(index, terms, k=3, search=tables))
+    monkeypatch.setattr(text_search, "LEAST_QUERY_ROWS", 8)
+    left = retrieval.side(index, "pair_id", "weights", "term_ids", "query", []).withColumns({
+        "qid": F.lit(None).cast("string"), "entries": text_search.entries(F.col("ids"), F.col("vec"))})
+    lists = text_search.pruned_lists(text_search.with_floors(left, tables, 3), tables, 3)
+    placed = lists.withColumn("task", F.spark_partition_id()).join(tables.cases.select("case_id", "slice"), "case_id")
+    assert placed.groupBy("slice").agg(F.count_distinct("task").alias("n")).agg(F.max("n")).head()[0] > 2
+    assert as_lists(retrieve(index, terms, k=3, search=tables)) == want
+
+
 def test_floor_never_exceeds_the_kth_score(index):
     index, terms = index
     cases = retrieval._text_cases(index, "pair_id", "weights", "term_ids",
