@@ -56,8 +56,9 @@ def score_reply_systems(
     """One scored row per (query, reply system)."""
     keep = [key, query, intent, reference, top_response, has_case]
     replies = reply_columns(F.col(intent), F.col(top_response), F.col(has_case))
-    # Spread the rows: everything after this is CPU work per row.
-    wide = df.select(*keep).repartition(task_slots(df.sparkSession), key).withColumns(replies)
+    # Spread the rows: everything after this is CPU work per row. By a hash of the key: a frame that
+    # is dealt by the key already would stay in the few tasks that its bytes make.
+    wide = df.select(*keep).repartition(task_slots(df.sparkSession), F.xxhash64(key)).withColumns(replies)
     judged = judge_replies(
         long_replies(wide, keep), query=query, intent=intent, top_response=top_response)
     return lexical_scores(judged, reference)

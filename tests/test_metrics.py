@@ -169,3 +169,16 @@ def test_every_query_and_check_is_named_alike():
     assert set(checks.oracle_sql()) <= set(catalog.queries())
     without = set(catalog.queries()) - set(checks.oracle_sql())
     assert without == {"tfidf_lr", "embedding_lr", "model_comparison"}
+
+
+def test_reply_scoring_keeps_its_task_slots(spark):
+    """A frame that is dealt by its key already is still scored in more than the few tasks its bytes make."""
+    from careweave.operators.reply_evaluation import score_reply_systems
+
+    rows = [(f"p{i}", f"where is parcel {i}", "DELIVERY_STATUS", f"we will look into parcel {i}", "it is on its way", True)
+            for i in range(64)]
+    names = ["pair_id", "customer_clean_text", "gold_intent", "support_response", "top_response", "has_case"]
+    df = spark.createDataFrame(rows, names).groupBy("pair_id").agg(*[F.max(c).alias(c) for c in names[1:]])
+    scored = score_reply_systems(df)
+    assert scored.count() == 3 * 64
+    assert scored.select(F.spark_partition_id().alias("task")).distinct().count() > 1
