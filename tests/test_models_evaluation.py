@@ -1,5 +1,6 @@
 import json
 import pathlib
+from collections import Counter
 
 import pytest
 from pyspark.sql import functions as F
@@ -62,6 +63,55 @@ def test_ngram_vocabulary(spark):
                             max_iter=2).pipeline.stages[4].vocabulary == ["cancel", "cancel order", "delivery"]
 
 
+def _shuffled_rows(plan):
+    """Rows that the exchanges of an executed plan wrote."""
+    kind = plan.getClass().getSimpleName()
+    if kind == "AdaptiveSparkPlanExec":
+        return _shuffled_rows(plan.executedPlan())
+    if kind.endswith("QueryStageExec"):
+        return _shuffled_rows(plan.plan())
+    own = plan.metrics().apply("shuffleRecordsWritten").value() if kind == "ShuffleExchangeExec" else 0
+    return own + sum(_shuffled_rows(plan.children().apply(i)) for i in range(plan.children().size()))
+
+
+def test_ngram_vocabulary_counts_pairs_of_frequent_words_only(spark):
+    # Every text has words that occur nowhere else, hence pairs that occur nowhere else.
+    texts = [f"w{i % 7} w{i % 5} the x{i}a x{i}b w{i % 3}" for i in range(2000)]
+    df = spark.createDataFrame([(t,) for t in texts], "text string")
+    found = features.vocabulary(df, "text", stop_words=("the",), max_features=6, ngrams=2)
+    assert _rows(found) == _plain_ngrams(texts, ("the",), 6)
+    assert _shuffled_rows(found._jdf.queryExecution().executedPlan()) < 500  # of over 10,000 pairs
+
+
+def _rows(found):
+    return [(r["term"], r["df"], r["total"]) for r in found.collect()]
+
+
+def _plain_ngrams(texts, stop, k):
+    total, documents = Counter(), Counter()
+    for text in texts:
+        words = [w for w in (text or "").lower().split() if len(w) > 1 and w not in stop]
+        terms = words + [f"{a} {b}" for a, b in zip(words, words[1:])]
+        total.update(terms)
+        documents.update(set(terms))
+    return [(t, documents[t], n) for t, n in sorted(total.items(), key=lambda x: (-x[1], x[0].encode()))[:k]]
+
+
+def test_ngram_vocabulary_equals_plain_count(spark):
+    texts = ["b1 a1 the b1 a1", "B1 the a1 ÄÖ", None, "", "the", "a", "a1 z9 a1 z9 ÄÖ z8", "y1 y2 y3 y4 y5 y6"] * 2
+    df = spark.createDataFrame([(t,) for t in texts], "text string").repartition(3)
+    # Also where words tie at the last place (one, two or all), and where there are fewer than asked for.
+    for k in (0, 1, 2, 3, 4, 5, 6, 9, 100):
+        for stop in ((), ("the",)):
+            assert _rows(features.vocabulary(
+                df, "text", stop_words=stop, max_features=k, ngrams=2)) == _plain_ngrams(texts, stop, k)
+    # The second word of the pair in place ties with words in front of it.
+    texts = ["aa zz", "aa zz", "bb", "bb", "aa"]
+    df = spark.createDataFrame([(t,) for t in texts], "text string")
+    assert _rows(features.vocabulary(df, "text", max_features=2, ngrams=2)) == [("aa", 3, 3), ("aa zz", 2, 2)]
+    assert features.vocabulary(df.limit(0), "text", ngrams=2).count() == 0
+
+
 def test_rule_prediction(train):
     rows = models.rule_predict(train).collect()
     assert [r["predicted_intent"] for r in rows] == [label for _, label in TRAIN]
