@@ -11,9 +11,14 @@ from careweave.operators.skew import HOT_ROWS, salted_join, split_join
 _KEY = "_text_key"
 
 
+def hex_digest(column: str) -> Column:
+    """64 characters that stand for a text: two texts have the same where their text keys are."""
+    return F.sha2(tx.text_key(F.col(column)), 256)
+
+
 def _digest(column: str) -> Column:
     """32 bytes that stand for a text key in a shuffle; null where the text is."""
-    return F.unhex(F.sha2(tx.text_key(F.col(column)), 256))
+    return F.unhex(hex_digest(column))
 
 
 def _keyed(df: DataFrame, column: str) -> DataFrame:

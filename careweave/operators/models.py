@@ -19,7 +19,9 @@ from pyspark.sql import DataFrame, functions as F
 
 from careweave import fixed_values as fv
 from careweave.functions import text as tx
-from careweave.session import task_slots
+from careweave.session import (
+    discard, materialize, recorded_tables, short_lived_shuffles, task_slots,
+)
 from careweave.operators.classification import (
     argmax_label, class_weights, classification_metrics, majority_label,
 )
@@ -86,7 +88,8 @@ def majority_predict(train: DataFrame, df: DataFrame, label: str = "intent", *,
 def _weighted(train: DataFrame, label: str) -> tuple[DataFrame, int]:
     """Training rows with balanced class weights, and their number.
 
-    The weights have one row per class; the planner chooses the join by their size.
+    The weights have one row per class, and the driver holds all classes anyway, hence the
+    broadcast: by label, texts would be dealt to as many tasks as there are classes.
     """
     train = train.where(F.col(label).isNotNull())
     n = train.count()
@@ -94,7 +97,7 @@ def _weighted(train: DataFrame, label: str) -> tuple[DataFrame, int]:
         raise ValueError(f"no labelled rows in {label!r}")
     weights = class_weights(train, label).select(
         F.col("label").alias(label), F.col("weight").alias("_weight"))
-    return train.join(weights, label), n
+    return train.join(F.broadcast(weights), label), n
 
 
 def _classifier(n: int, max_iter: int) -> LogisticRegression:
@@ -119,16 +122,29 @@ def _fit(train: DataFrame, label: str, feature_stages: list, features, max_iter:
 def fit_tfidf(
     train: DataFrame, text: str = "customer_clean_text", label: str = "intent", *,
     max_features: int = fv.MAX_FEATURES, max_iter: int = 1000,
-    stop_words: Sequence[str] | None = None,
+    stop_words: Sequence[str] | None = None, dealt: bool = False,
 ) -> FittedClassifier:
     """Unigrams and bigrams, smoothed idf, unit rows, balanced logistic regression.
 
-    Ties at the cut of the vocabulary go by term, so every fit sees the same columns.
+    Ties at the cut of the vocabulary go by term, so every fit sees the same columns. Texts are
+    dealt out to all task slots first, unless ``dealt`` says that they lie in many splits already.
+    Term counts are written once, without the texts and words they come from.
     """
+    spark = train.sparkSession
     stop = list(stop_words) if stop_words is not None else (
         StopWordsRemover.loadDefaultStopWords("english"))
+    with short_lived_shuffles(spark), recorded_tables() as paths:
+        try:
+            return _fit_tfidf(train, text, label, max_features, max_iter, stop, dealt)
+        finally:
+            discard(spark, paths)
+
+
+def _fit_tfidf(train: DataFrame, text: str, label: str, max_features: int, max_iter: int,
+               stop: list[str], dealt: bool) -> FittedClassifier:
     weighted, n = _weighted(train.select(text, label), label)
-    weighted = weighted.repartition(task_slots(train.sparkSession))
+    if not dealt:
+        weighted = weighted.repartition(task_slots(train.sparkSession))
     known = [r["term"] for r in vocabulary(  # at most max_features rows
         train, text, stop_words=stop, max_features=max_features, ngrams=2).collect()]
     terms = PipelineModel([
@@ -138,25 +154,24 @@ def fit_tfidf(
         SQLTransformer(statement="SELECT *, concat(_words, _bigrams) AS _terms FROM __THIS__"),
         CountVectorizerModel.from_vocabulary(known, inputCol="_terms", outputCol="_tf"),
     ])
-    counted = terms.transform(weighted).cache()
-    try:
-        idf = IDF(inputCol="_tf", outputCol="_idf").fit(counted).idf
-        scale = ElementwiseProduct(
-            scalingVec=Vectors.dense(idf.toArray() + 1.0), inputCol="_tf", outputCol="_tfidf")
-        unit = Normalizer(inputCol="_tfidf", outputCol=_FEATURES)
-        features = unit.transform(scale.transform(counted))
-        return _fit(train, label, [*terms.stages, scale, unit], features, max_iter, n)
-    finally:
-        counted.unpersist()
+    counted = materialize(terms.transform(weighted).select(label, "_weight", "_tf"))
+    idf = IDF(inputCol="_tf", outputCol="_idf").fit(counted).idf
+    scale = ElementwiseProduct(
+        scalingVec=Vectors.dense(idf.toArray() + 1.0), inputCol="_tf", outputCol="_tfidf")
+    unit = Normalizer(inputCol="_tfidf", outputCol=_FEATURES)
+    features = unit.transform(scale.transform(counted))
+    return _fit(train, label, [*terms.stages, scale, unit], features, max_iter, n)
 
 
 def fit_embedding(
-    train: DataFrame, vector: str = "embedding", label: str = "intent", *, max_iter: int = 1000
+    train: DataFrame, vector: str = "embedding", label: str = "intent", *, max_iter: int = 1000,
+    dealt: bool = False,
 ) -> FittedClassifier:
-    """The same classifier over a given embedding column."""
+    """The same classifier over a given embedding column; ``dealt`` as for ``fit_tfidf``."""
     weighted, n = _weighted(train.select(vector, label), label)
     as_vector = VectorColumn(inputCol=vector)
-    features = as_vector.transform(weighted.repartition(task_slots(train.sparkSession)))
+    features = as_vector.transform(
+        weighted if dealt else weighted.repartition(task_slots(train.sparkSession)))
     return _fit(train, label, [as_vector], features, max_iter, n)
 
 

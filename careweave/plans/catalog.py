@@ -17,7 +17,9 @@ from careweave.operators import (
     reply_evaluation, retrieval, routing, rubric, summary, trust,
 )
 from careweave.plans import evaluation, scoring
-from careweave.session import materialize, shared_dir, spread
+from careweave.session import (
+    discard, materialize, recorded_tables, shared_dir, short_lived_shuffles, spread,
+)
 from careweave.sources import generators, messages as msg, store, tables
 from careweave.streaming import pairing as stream_pairing, scoring as stream_scoring
 
@@ -670,13 +672,35 @@ def metric_summary(spark, d):
 
 # --- models --------------------------------------------------------------------------
 
+def _labelled(spark, d):
+    """All rows of the split, marked ``golden`` or not, with cleaned texts and labels.
+
+    The split looks at ids and digests of the texts only, and so is a function of them: it is made
+    on narrow rows, and each text is dealt out once, to meet its part (the hashed side, as a sort
+    would hold texts).
+    """
+    documents = tables.table(spark, d, "documents", dealt=False).select("doc_id", "text", "lang")
+    keys = materialize(documents.select("doc_id", leakage.hex_digest("text").alias("digest")).distinct())
+    train, golden = tables.split_documents(keys, _table(spark, d, "labels"))
+    clean_train = leakage.exclude_golden(train, golden, train_text="digest", golden_text="digest")
+    parts = summary.union_all([df.select(
+        F.col("doc_id").alias("_id"), F.unhex("digest").alias("_digest"), F.lit(name == "golden").alias("golden"))
+        for name, df in {"train": clean_train, "golden": golden}.items()])
+    texts = documents.withColumn("_text_digest", F.unhex(leakage.hex_digest("text")))
+    return texts.join(parts.hint("shuffle_hash"), (F.col("_text_digest") == F.col("_digest")) & F.col(
+        "doc_id").eqNullSafe(F.col("_id"))).select(
+        "doc_id", tx.clean_text(F.col("text")).alias("customer_clean_text"),
+        tables.gold_intent().alias("intent"), tables.gold_intent().alias("gold_intent"), "golden")
+
+
+def _parts(rows):
+    """(train, golden) of a stored table that holds both."""
+    return rows.where(~F.col("golden")).drop("golden"), rows.where("golden").drop("golden")
+
+
 def _labelled_split(spark, d):
-    train, golden = _split(spark, d)
-    named = [
-        F.col("doc_id"), tx.clean_text(F.col("text")).alias("customer_clean_text"),
-        tables.gold_intent().alias("intent"), tables.gold_intent().alias("gold_intent")]
-    clean_train = leakage.exclude_golden(train, golden, train_text="text", golden_text="text")
-    return materialize(clean_train.select(*named)), materialize(golden.select(*named))
+    with short_lived_shuffles(spark):
+        return _parts(materialize(_labelled(spark, d)))
 
 
 @query
@@ -708,23 +732,30 @@ def embedding_lr(spark, d):
 def _hashed(df):
     """Unit vectors of the texts by feature hashing, where there is no sentence encoder.
 
-    Written once, since fitting reads them several times.
+    Written once, since fitting reads them several times: as counts, which take a fraction of the
+    room and are scaled where they are read.
     """
-    words = spread(df).withColumn("_words", tx.words(F.col("customer_clean_text")))
+    words = df.withColumn("_words", tx.words(F.col("customer_clean_text")))
     counted = HashingTF(numFeatures=TEXT_DIMS, inputCol="_words", outputCol="_tf").transform(words)
-    counts = vec.l2_normalize_long(F.col("_counts"))
-    return materialize(counted.withColumn("_counts", vector_to_array("_tf")).withColumn("embedding", counts).drop(
-        "_words", "_tf", "_counts"))
+    stored = materialize(counted.withColumn(
+        "_counts", vector_to_array("_tf").cast("array<int>")).drop("_words", "_tf"))
+    counts = vec.l2_normalize_long(F.col("_counts").cast("array<double>"))
+    return stored.withColumn("embedding", counts).drop("_counts")
+
+
+def _hashed_split(spark, d):
+    with short_lived_shuffles(spark):
+        return _parts(_hashed(_labelled(spark, d)))
 
 
 @query
 def model_comparison(spark, d):
     """All models on all labelled documents."""
-    train, golden = (_hashed(df) for df in _labelled_split(spark, d))
+    train, golden = _hashed_split(spark, d)
     return models.compare_models({
         "baseline_0_majority": models.majority_predict(train, golden),
-        "baseline_1_tfidf": models.fit_tfidf(train, max_iter=50).predict(golden),
-        "main_model_embedding": models.fit_embedding(train, max_iter=50).predict(golden),
+        "baseline_1_tfidf": models.fit_tfidf(train, max_iter=50, dealt=True).predict(golden),
+        "main_model_embedding": models.fit_embedding(train, max_iter=50, dealt=True).predict(golden),
     })
 
 
@@ -732,24 +763,26 @@ def model_comparison(spark, d):
 def model_properties(spark, d):
     """What must hold for every prediction of every model: one row each, probabilities of all labels
     that add up to 1, the label with the largest one and its value; trained models beat the majority."""
-    train, golden = (_hashed(df) for df in _labelled_split(spark, d))
-    frames = {"baseline_0_majority": models.majority_predict(train, golden, probabilities=True),
-              "baseline_1_tfidf": models.fit_tfidf(train, max_iter=50).predict(golden),
-              "main_model_embedding": models.fit_embedding(train, max_iter=50).predict(golden)}
-    values = F.map_values("all_intent_probabilities")
-    total = F.aggregate(values, F.lit(0.0), lambda a, x: a + x)
-    rows = summary.union_all([df.select(
-        F.lit(name).alias("model"), (F.col("gold_intent") == F.col("predicted_intent")).alias("right"),
-        (F.abs(total - 1) < 1e-9).alias("one"), (F.array_max(values) == F.col("confidence")).alias("largest"),
-        (F.element_at("all_intent_probabilities", F.col("predicted_intent")) == F.col("confidence")).alias("named"),
-        F.size(values).alias("labels")) for name, df in frames.items()])
-    found = rows.groupBy("model").agg(
-        F.count("*").alias("n"), F.min("labels").alias("labels"), F.bool_and("one").alias("adds_up"),
-        F.bool_and("largest").alias("is_largest"), F.bool_and("named").alias("is_named"),
-        F.count_if("right").alias("right"))
+    with short_lived_shuffles(spark), recorded_tables() as paths:
+        train, golden = _hashed_split(spark, d)
+        frames = {"baseline_0_majority": models.majority_predict(train, golden, probabilities=True),
+                  "baseline_1_tfidf": models.fit_tfidf(train, max_iter=50, dealt=True).predict(golden),
+                  "main_model_embedding": models.fit_embedding(train, max_iter=50, dealt=True).predict(golden)}
+        values = F.map_values("all_intent_probabilities")
+        total = F.aggregate(values, F.lit(0.0), lambda a, x: a + x)
+        rows = summary.union_all([df.select(
+            F.lit(name).alias("model"), (F.col("gold_intent") == F.col("predicted_intent")).alias("right"),
+            (F.abs(total - 1) < 1e-9).alias("one"), (F.array_max(values) == F.col("confidence")).alias("largest"),
+            (F.element_at("all_intent_probabilities", F.col("predicted_intent")) == F.col("confidence")).alias("named"),
+            F.size(values).alias("labels")) for name, df in frames.items()])
+        found = materialize(rows.groupBy("model").agg(
+            F.count("*").alias("n"), F.min("labels").alias("labels"), F.bool_and("one").alias("adds_up"),
+            F.bool_and("largest").alias("is_largest"), F.bool_and("named").alias("is_named"),
+            F.count_if("right").alias("right")))
+    discard(spark, paths[:-1])
     base = found.where("model = 'baseline_0_majority'").select("right").scalar()
-    return materialize(found).select("model", "n", "labels", "adds_up", "is_largest", "is_named",
-                                     (F.col("right") > base).alias("beats_majority"))
+    return found.select("model", "n", "labels", "adds_up", "is_largest", "is_named",
+                        (F.col("right") > base).alias("beats_majority"))
 
 
 # --- streams -------------------------------------------------------------------------

@@ -77,6 +77,19 @@ def discard(spark: SparkSession, paths: Iterable[str]) -> None:
         place.getFileSystem(conf).delete(place, True)
 
 
+@contextmanager
+def short_lived_shuffles(spark: SparkSession) -> Iterator[None]:
+    """Queries that begin meanwhile delete their shuffle files when they end, not when the driver
+    happens to collect its garbage."""
+    name = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = spark.conf.get(name)
+    spark.conf.set(name, "true")
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
 def task_slots(spark: SparkSession) -> int:
     """How many tasks to spread CPU-heavy work over."""
     return max(

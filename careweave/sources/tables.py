@@ -27,9 +27,10 @@ LANGUAGE_RULES = {
 _WORK_TABLES = ("documents", "conversations", "pages", "embeddings")
 
 
-def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
+def table(spark: SparkSession, folder: str, name: str, *, dealt: bool = True) -> DataFrame:
+    """Without ``dealt`` as it lies in its files, for readers that deal the rows out themselves."""
     df = spark.read.parquet(f"{folder}/{name}.parquet")
-    return spread(df) if name in _WORK_TABLES else df
+    return spread(df) if dealt and name in _WORK_TABLES else df
 
 
 def messages(conversations: DataFrame, brand: str = BRAND) -> DataFrame:
